@@ -3,8 +3,20 @@
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Flat schema from ``name type, ...``; needs no session, unlike DDL."""
+    named = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in named])
 
 
 WORD = _schema("word string, count int")

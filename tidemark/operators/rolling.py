@@ -62,7 +62,7 @@ def rolling_reduce(
         F.aggregate(
             F.slice(name, F.lit(2), F.size(name)),
             F.get(F.col(name), F.lit(0)),
-            combine,
+            lambda reduced, v: combine(reduced, v),
         ),
     )
 
