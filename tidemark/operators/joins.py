@@ -136,10 +136,16 @@ def interval_join_stream(
 def window_join_stream(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, size: str
 ) -> DataFrame:
-    """The window join of two watermarked streams."""
-    in_left = left.withColumn("window", F.window(left_ts, size))
-    in_right = right.withColumn("window", F.window(right_ts, size))
-    return in_left.join(in_right, [key, "window"])
+    """The window join of two watermarked streams.
+
+    Only the pane goes on as event time; both times are plain columns after it.
+    """
+
+    def in_panes(df: DataFrame, ts: str) -> DataFrame:
+        plain = F.timestamp_micros(F.unix_micros(ts))
+        return df.withColumn("window", F.window(ts, size)).withColumn(ts, plain)
+
+    return in_panes(left, left_ts).join(in_panes(right, right_ts), [key, "window"])
 
 
 ON_TIME = "on_time"

@@ -22,12 +22,15 @@ class PerRecord(StatefulProcessor):
 
     def __init__(self, order: Sequence[str]):
         self.order = list(order)
+        self.output: list[str] = []  # column names of what step emits
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        emitted = Row(*self.output)
         state = self.load()
         for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             state, found = self.step(state, row)
-            yield from found
+            for values in found:
+                yield emitted(*values)
         self.save(state)
 
     def load(self):
@@ -73,7 +76,7 @@ class Reduce(ValuePerRecord):
     def step(self, state, row):
         value = row[self.value]
         total = value if state is None else self.combine(state[0], value)
-        return (total,), [Row(*row, total)]
+        return (total,), [(*row, total)]
 
 
 class Count(ValuePerRecord):
@@ -82,7 +85,7 @@ class Count(ValuePerRecord):
 
     def step(self, state, row):
         n = 1 + (state[0] if state else 0)
-        return (n,), [Row(*row, n)]
+        return (n,), [(*row, n)]
 
 
 class Listed(PerRecord):
@@ -100,7 +103,7 @@ class Listed(PerRecord):
 
     def step(self, state, row):
         state = [*state, row[self.value]]
-        return state, [Row(*row, self.separator.join(str(v) for v in state))]
+        return state, [(*row, self.separator.join(str(v) for v in state))]
 
     def save(self, state) -> None:
         self.cell.put([(v,) for v in state])
@@ -124,7 +127,7 @@ class MapCount(PerRecord):
         sub = row[self.sub_key]
         state[sub] = state.get(sub, 0) + 1
         self.changed.add(sub)
-        return state, [Row(*row, dict(sorted(state.items())))]
+        return state, [(*row, dict(sorted(state.items())))]
 
     def save(self, state) -> None:
         for sub in self.changed:
@@ -160,7 +163,7 @@ class Runs(ValuePerRecord):
                 category, min(state[1], start), max(state[2], end),
                 state[3] + duration, min(state[4], second),
             ), []
-        closed = [] if state is None else [Row(*[row[k] for k in self.keys], *state)]
+        closed = [] if state is None else [(*[row[k] for k in self.keys], *state)]
         return (category, start, end, duration, second), closed
 
 
@@ -178,7 +181,7 @@ class Anchored(ValuePerRecord):
         if record[0] == state[1]:
             record = (state[0], record[1], state[2] + record[2], min(state[3], record[3]))
             state = record
-        return state, [Row(*[row[k] for k in self.keys], *record)]
+        return state, [(*[row[k] for k in self.keys], *record)]
 
 
 class Thresholds(ValuePerRecord):
@@ -197,7 +200,7 @@ class Thresholds(ValuePerRecord):
         if self.fire_types is not None:
             fires = fires and kind in self.fire_types
         after = (i + (kind == self.install), u + (kind == self.uninstall))
-        return after, [Row(*row, i, u)] if fires else []
+        return after, [(*row, i, u)] if fires else []
 
 
 class PaneCount(ValuePerRecord):
@@ -219,7 +222,7 @@ class PaneCount(ValuePerRecord):
 
     def step(self, state, row):
         n = 1 + (state[0] if state else 0)
-        return (n,), [Row(*row, n)] if n % self.n == 0 else []
+        return (n,), [(*row, n)] if n % self.n == 0 else []
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.cell.clear()
@@ -239,7 +242,7 @@ class Peak(ValuePerRecord):
         if n > best:
             start, end, best = row[self.start], row[self.end], n
         state = (seen + 1, start, end, best)
-        return state, [Row(*state)] if seen + 1 >= n else []
+        return state, [state] if seen + 1 >= n else []
 
 
 class Match(ValuePerRecord):
@@ -259,16 +262,17 @@ class Match(ValuePerRecord):
             return (ordered, delivered), []
         deadline = ordered + self.limit_ms
         status = "on_time" if delivered < deadline else "late"
-        return None, [Row(row["id"], ordered, delivered, deadline, status)]
+        return None, [(row["id"], ordered, delivered, deadline, status)]
 
 
 # -- DataFrame functions -----------------------------------------------------------
 
 
 def _apply(
-    df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
+    df: DataFrame, keys: Sequence[str], processor: PerRecord,
     schema: T.StructType, time_mode: str = "None",
 ) -> DataFrame:
+    processor.output = schema.names
     return df.groupBy(*keys).transformWithState(
         statefulProcessor=processor,
         outputStructType=schema,
