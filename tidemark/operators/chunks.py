@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-ROWS_PER_CHUNK = 4_000_000
+ROWS_PER_CHUNK = 1_000_000
 SAMPLES_PER_CHUNK = 32
 MAX_BOUNDS = 1_000_000
 
@@ -59,15 +59,15 @@ def tag_chunks(
     """Add ``__chunk`` (0, 1, ...) and ``__last_chunk`` to every row.
 
     ``at_most`` is a known bound of the row count and saves counting.
-    ``costly`` says that ``df`` is more than a scan; it is then written to the
-    shared folder once if it has to be read several times.
+    ``costly`` says that ``df`` is more than a scan; it is then computed once,
+    into the shared folder, before it is read several times.
     Returns the tagged rows and whether any key was split at all.
     """
+    if costly and (at_most is None or at_most > rows_per_chunk):
+        df = cut_lineage(df)
     rows = df.count() if at_most is None else at_most
     if rows <= rows_per_chunk:
         return df.withColumns({CHUNK: F.lit(0), LAST_CHUNK: F.lit(0)}), False
-    if costly:
-        df = cut_lineage(df)
 
     rows_per_chunk = max(rows_per_chunk, rows // MAX_BOUNDS)
     every = max(1, rows_per_chunk // SAMPLES_PER_CHUNK)
@@ -84,9 +84,13 @@ def tag_chunks(
         .groupBy(*[F.col(k).alias(f"__split_{i}") for i, k in enumerate(keys)])
         .agg(F.array_sort(F.collect_set("__at")).alias("__bounds"))
     )
-    on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
     halves = (2 * rows // rows_per_chunk + 64).bit_length()
-    tagged = df.join(F.broadcast(bounds), on, "left").select(
+    if keys:
+        on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
+        found = df.join(F.broadcast(bounds), on, "left")
+    else:
+        found = df.withColumn("__bounds", bounds.scalar())
+    tagged = found.select(
         *[df[c] for c in df.columns],
         _bounds_passed(F.col("__bounds"), position(order), halves).alias(CHUNK),
         F.coalesce(F.size("__bounds"), F.lit(0)).alias(LAST_CHUNK),

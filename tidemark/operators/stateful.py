@@ -360,11 +360,10 @@ def _list_anchored(
     absorbed = cut_lineage(df.groupBy(*keys).agg(F.min(at).alias("__at")))
     roots = absorbed.select(*_numbered(keys, "root"), F.col("__at").alias("__root_at"))
     while True:
-        step = _follow(absorbed, jumps, keys)
-        step = cut_lineage(step)
+        step = cut_lineage(_follow(absorbed, jumps, keys))
         if step.isEmpty():
             break
-        absorbed = cut_lineage(absorbed.unionByName(step))
+        absorbed = absorbed.unionByName(step)  # of written tables
         jumps = cut_lineage(_double(jumps, keys))
 
     chain = absorbed.select(*_numbered(keys, "chain"), F.col("__at").alias("__chain_at"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import triggers as G
-from tidemark.plans.inputs import ORDER, SMALL_CHUNK, events, with_events
+from tidemark.plans.inputs import ORDER, events, with_events
 from tidemark.plans.registry import report
 
 INSTALL, UNINSTALL = "purchase", "error"
@@ -80,7 +80,7 @@ def _first_sql(event_type: str, n: int) -> str:
 def app_store_report(spark, folder):
     """On each firing: the first three apps installed and uninstalled so far."""
     rows = _rows(spark, folder)
-    fired = _fired(rows, rows_per_chunk=SMALL_CHUNK)
+    fired = _fired(rows)
     return G.first_apps_so_far(
         fired, rows, "store", "user_id", ORDER, "event_type", [INSTALL, UNINSTALL]
     ).select("event_id", "store", "user_id", f"first_{INSTALL}", f"first_{UNINSTALL}")

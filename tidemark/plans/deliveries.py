@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import match_deliveries
-from tidemark.plans.inputs import DAY, SMALL_CHUNK
+from tidemark.plans.inputs import DAY
 from tidemark.plans.registry import report
 from tidemark.sources.readers import table
 
@@ -34,7 +34,7 @@ def delivery_sla(spark, folder):
     )
     return match_deliveries(
         orders, shipped, "o_orderkey", "l_orderkey", "order_ms", "delivery_ms",
-        3 * DAY, rows_per_chunk=SMALL_CHUNK,
+        3 * DAY,
     ).select(
         "o_orderkey", "order_ms", "delivery_ms", "deadline_ms", "status", "class_number"
     )

@@ -14,9 +14,9 @@ DAY = 24 * HOUR
 
 ORDER = ["ms", "event_id"]
 
-# Chunk size of the reports that have only one or a few keys. Far smaller than
-# the default, so that the small test tables are cut into chunks as well.
-SMALL_CHUNK = 2_000
+# Chunk size of the reports whose few keys are always cut into chunks. Far
+# smaller than the default, so that this happens on the small test tables too.
+SMALL_CHUNK = 4_000
 
 STORES = 5
 

@@ -28,8 +28,7 @@ def article_rolling(spark, folder):
     )
     articles = tokens.filter(F.col("word").isin("the", "a"))
     return R.rolling_count(
-        articles, ["word"], ["doc_id", "pos"], "total",
-        rows_per_chunk=SMALL_CHUNK, costly=True,
+        articles, ["word"], ["doc_id", "pos"], "total", costly=True
     )
 
 
@@ -156,6 +155,6 @@ def time_of_day_rolling(spark, folder):
         S.date_from_seconds(seconds).cast("string").alias("day"),
         S.part_of_day(seconds).alias("part"),
     )
-    return R.rolling_count(dated, ["part"], ORDER, rows_per_chunk=SMALL_CHUNK).select(
+    return R.rolling_count(dated, ["part"], ORDER).select(
         "event_id", "day", "part", "n"
     )

@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import triggers as G
 from tidemark.operators import windows as W
-from tidemark.plans.inputs import (
-    DAY, HOUR, ORDER, SMALL_CHUNK, events, pane, with_events,
-)
+from tidemark.plans.inputs import DAY, HOUR, ORDER, events, pane, with_events
 from tidemark.plans.registry import report
 
 
@@ -22,7 +20,7 @@ from tidemark.plans.registry import report
 def count_trigger(spark, folder):
     """Every second event of an hour fires with the count so far."""
     panes = W.tumbling(events(spark, folder).select("event_id", "ms"), "ms", HOUR)
-    return G.every_nth(panes, [], ORDER, 2, rows_per_chunk=SMALL_CHUNK).select(
+    return G.every_nth(panes, [], ORDER, 2).select(
         "event_id", "w_start", "w_end", "n_so_far"
     )
 
@@ -54,9 +52,7 @@ def dynamic_trigger(spark, folder):
 )
 def evict_last_50(spark, folder):
     rows = events(spark, folder).select("event_id", "ms", "store")
-    return G.last_n_count(
-        rows, ["store"], ORDER, 50, rows_per_chunk=SMALL_CHUNK
-    ).select("event_id", "store", "retained")
+    return G.last_n_count(rows, ["store"], ORDER, 50).select("event_id", "store", "retained")
 
 
 @report(

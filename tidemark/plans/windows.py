@@ -178,14 +178,13 @@ _LATE = (
 )
 
 
-def _marked(spark, folder):
+def _marked(spark, folder, **split):
     """Events in a shuffled order of arrival, marked late or on time."""
     rows = events(spark, folder).select("event_id", "ms", "user_id")
     delay = F.pmod(F.col("event_id") * 7919, F.lit(13)) * (5 * MINUTE)
     arriving = rows.withColumn("arrival", F.col("ms") + delay)
     return with_lateness(
-        arriving, ["arrival", "event_id"], "ms", HOUR, 10 * MINUTE,
-        rows_per_chunk=SMALL_CHUNK,
+        arriving, ["arrival", "event_id"], "ms", HOUR, 10 * MINUTE, **split
     )
 
 
@@ -212,7 +211,7 @@ FROM (SELECT *, coalesce(w_end <= reached, false) AS late FROM m) t GROUP BY w_s
     )
 )
 def late_split_counts(spark, folder):
-    marked = _marked(spark, folder)
+    marked = _marked(spark, folder, rows_per_chunk=SMALL_CHUNK)
     return marked.groupBy("w_start", "w_end").agg(
         F.count(F.when(~F.col("is_late"), 1)).alias("on_time"),
         F.count(F.when(F.col("is_late"), 1)).alias("late"),
