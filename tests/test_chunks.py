@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import chunks, joins, stateful
+from tidemark.operators import chunks, joins, rolling, stateful
 from tidemark.operators import windows as W
 from tidemark.operators.chunks import CHUNK, LAST_CHUNK, Fold
 
@@ -82,6 +82,31 @@ def test_running_folds(df, data, small_chunks, keyed, exclusive):
     assert found == reference_folds(data, keyed, exclusive)
 
 
+@pytest.mark.parametrize("keyed", [True, False])
+def test_running_reduce(df, data, small_chunks, keyed):
+    """Function composition: associative, but not commutative."""
+
+    def compose(a, b):
+        return "".join(a[int(x)] for x in b)
+
+    rows = df.withColumn(
+        "f", F.when(F.col("v").isNotNull(), F.element_at(
+            F.array(*[F.lit(x) for x in ("120", "021", "101", "202")]),
+            (F.pmod("v", F.lit(4)) + 1).cast("int"))))
+    codes = ("120", "021", "101", "202")
+    expected, total = {}, {}
+    for k, t, i, v, c in sorted(data, key=lambda r: (r[1], r[2])):
+        key = k if keyed else 0
+        if v is not None:
+            f = codes[v % 4]
+            total[key] = compose(total[key], f) if key in total else f
+        expected[i] = total.get(key)
+    for options in ({}, small_chunks):
+        out = rolling.rolling_reduce(
+            rows, ["k"] if keyed else [], ["t", "i"], "f", compose, **options)
+        assert {r.i: r.reduced for r in out.collect()} == expected
+
+
 @pytest.mark.parametrize("include_open", [True, False])
 def test_runs(df, data, small_chunks, include_open):
     expected, open_run = [], {}

@@ -68,8 +68,10 @@ def test_rolling_concat(spark):
         ("en", "car, bus, course, house, "), ("ru", "машина, "),
     ]
     assert sorted(got(out, "lang", "texts")) == expected
-    out = rolling.rolling_reduce(df, ["lang"], ["arrival"], F.col("text"), F.concat)
-    assert sorted(got(out, "lang", "reduced")) == expected
+    for rows_per_chunk in (1_000, 1):
+        out = rolling.rolling_reduce(
+            df, ["lang"], ["arrival"], "text", lambda a, b: a + b, rows_per_chunk=rows_per_chunk)
+        assert sorted(got(out, "lang", "reduced")) == expected
 
 
 def test_rolling_map_known_and_unknown(spark):

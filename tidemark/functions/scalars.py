@@ -10,6 +10,11 @@ MS_PER_HOUR = 3_600_000
 MS_PER_DAY = 86_400_000
 
 
+def _whole(value: Column, unit: int) -> Column:
+    """Whole units in an integer; rounds down."""
+    return ((value - F.pmod(value, F.lit(unit))) / unit).cast("bigint")
+
+
 def lower_split(text: Column) -> Column:
     """Lower-cased tokens between runs of non-word characters.
 
@@ -60,7 +65,7 @@ def recode_containing(name: Column, part: str, replacement: str) -> Column:
 
 def part_of_day(epoch_seconds: Column) -> Column:
     """morning [4,12), day [12,17), evening [17,24), otherwise night."""
-    hour = F.pmod(F.floor(epoch_seconds / 3600), F.lit(24))
+    hour = F.pmod(_whole(epoch_seconds, 3600), F.lit(24))
     return (
         F.when((hour >= 4) & (hour < 12), "morning")
         .when((hour >= 12) & (hour < 17), "day")
@@ -91,7 +96,7 @@ def end_time(start_ms: Column, duration_ms: Column) -> Column:
 
 
 def seconds_of_day(epoch_ms: Column) -> Column:
-    return F.floor(F.pmod(epoch_ms, F.lit(MS_PER_DAY)) / MS_PER_SECOND).cast("int")
+    return _whole(F.pmod(epoch_ms, F.lit(MS_PER_DAY)), MS_PER_SECOND).cast("int")
 
 
 def format_hms(seconds: Column) -> Column:
@@ -105,7 +110,7 @@ def weekday_name(epoch_ms: Column) -> Column:
 
 
 def to_seconds(duration_ms: Column) -> Column:
-    return F.floor(duration_ms / MS_PER_SECOND)
+    return _whole(duration_ms, MS_PER_SECOND)
 
 
 def to_hours(duration_ms: Column) -> Column:

@@ -12,7 +12,7 @@ comes from one small aggregate row per chunk.
 * There are at most ``rows / rows_per_chunk`` cut points, and never more than
   about ``MAX_BOUNDS``, so cut points and carries are safe to broadcast.
 * The wide input is shuffled once, by (key, chunk). Finding cuts and carries
-  costs two more narrow reads with map-side aggregation.
+  costs one more narrow read each, with map-side aggregation.
 * An input of at most ``rows_per_chunk`` rows is a plain window: no group in it
   can be larger than a chunk.
 """
@@ -29,7 +29,7 @@ from tidemark.session import cut_lineage
 
 ROWS_PER_CHUNK = 1_000_000
 SAMPLES_PER_CHUNK = 32
-MAX_BOUNDS = 1_000_000
+MAX_BOUNDS = 250_000
 
 CHUNK = "__chunk"
 LAST_CHUNK = "__last_chunk"
@@ -84,6 +84,7 @@ def tag_chunks(
         .groupBy(*[F.col(k).alias(f"__split_{i}") for i, k in enumerate(keys)])
         .agg(F.array_sort(F.collect_set("__at")).alias("__bounds"))
     )
+    bounds = cut_lineage(bounds)  # read below by the rows and by the carries
     halves = (2 * rows // rows_per_chunk + 64).bit_length()
     if keys:
         on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
@@ -237,6 +238,7 @@ def islands(
     leave: Column,
     breaks: Callable[[Column, Column], Column],
     folds: Sequence[Fold],
+    labels: Sequence[str] = (),
     keep_open: bool = True,
     chunk: Column | None = None,
     split_by_chunk: bool = False,
@@ -247,7 +249,8 @@ def islands(
     """Collapse consecutive rows of a key into one row per island.
 
     A new island starts where ``breaks(leave of the previous row, enter of this
-    row)`` holds. ``keep_open=False`` drops the last island of each key, which
+    row)`` holds. ``labels`` are columns that have one value within an island and
+    are passed on. ``keep_open=False`` drops the last island of each key, which
     no later row has closed. Only the first and last island of a chunk can go
     on in a neighbour, so only those are merged across chunks.
 
@@ -280,14 +283,14 @@ def islands(
     at = position(order)
     totals = [f.total(at).alias(f.name) for f in folds]
     tail = F.max("__tail").alias("__tail")
-    names = [f.name for f in folds]
+    names = [*labels, *[f.name for f in folds]]
     if not split:
-        found = rows.groupBy(*keys, "__island").agg(*totals, tail)
+        found = rows.groupBy(*keys, "__island", *labels).agg(*totals, tail)
         if not keep_open:
             found = found.filter(~F.col("__tail"))
         return found.select(*keys, *names)
 
-    local = rows.groupBy(*keys, CHUNK, LAST_CHUNK, "__island").agg(
+    local = rows.groupBy(*keys, CHUNK, LAST_CHUNK, "__island", *labels).agg(
         *totals,
         tail,
         F.min_by("__enter", at).alias("__enter"),
@@ -314,7 +317,7 @@ def islands(
                 by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             ),
         )
-        .groupBy(*keys, "__group")
+        .groupBy(*keys, "__group", *labels)
         .agg(
             *[f.merged(F.col(f.name)).alias(f.name) for f in folds],
             F.max(F.col("__tail") & (F.col(CHUNK) == F.col(LAST_CHUNK))).alias("__open"),

@@ -15,7 +15,7 @@ from tidemark.operators.chunks import (
     running,
     same_key,
 )
-from tidemark.operators.windows import pane_start
+from tidemark.operators.windows import bucket, pane_start
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -94,10 +94,10 @@ def interval_join(
     is the later of both times.
     """
     width = max(upper - lower, 1)
-    first = F.floor((F.col(left_ts) + lower) / width)
-    last = F.floor((F.col(left_ts) + upper) / width)
+    first = bucket(F.col(left_ts) + lower, width)
+    last = bucket(F.col(left_ts) + upper, width)
     spread = left.withColumn("__bucket", F.explode(F.sequence(first, last)))
-    bucketed = right.withColumn("__bucket", F.floor(F.col(right_ts) / width))
+    bucketed = right.withColumn("__bucket", bucket(F.col(right_ts), width))
     within = F.col(right_ts).between(F.col(left_ts) + lower, F.col(left_ts) + upper)
     return (
         salted_join(

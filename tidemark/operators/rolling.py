@@ -8,11 +8,23 @@ Streaming twins are in :mod:`tidemark.streaming.processors`.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.chunks import Fold, running
+from tidemark.operators.chunks import (
+    CHUNK,
+    LAST_CHUNK,
+    ROWS_PER_CHUNK,
+    Fold,
+    running,
+    same_key,
+    tag_chunks,
+)
+from tidemark.operators.walk import groups, to_batch, walk
 
 
 def rolling_sum(
@@ -48,23 +60,113 @@ def rolling_list(
 
 
 def rolling_reduce(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-    combine: Callable[[Column, Column], Column], name: str = "reduced", **split,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+    combine: Callable[[Any, Any], Any], name: str = "reduced",
+    rows_per_chunk: int = ROWS_PER_CHUNK, at_most: int | None = None, costly: bool = False,
 ) -> DataFrame:
-    """Running reduce by any associative function of two columns.
+    """Running reduce by any associative Python function of two values.
 
-    Sums, minima, maxima and counts have direct forms in ``running``; this one
-    folds the list of values of each row.
+    Counts, sums, minima and maxima are built-in folds of ``running``; this one
+    walks the rows. Chunks of a heavy key are reduced first, and their walks
+    start from what the chunks before them came to. Null values are passed over.
     """
-    listed = running(df, keys, order, [Fold(name, "list", value)], **split)
-    return listed.withColumn(
-        name,
-        F.aggregate(
-            F.slice(name, F.lit(2), F.size(name)),
-            F.get(F.col(name), F.lit(0)),
-            lambda reduced, v: combine(reduced, v),
-        ),
+    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, at_most, costly)
+    kind = df.schema[value].dataType
+    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
+    columns = df.columns
+    if not split:
+        rows = tagged.select(*columns, F.lit(None).cast(kind).alias("__before"))
+        return walk(rows, keys, order, _reducing(keys, value, combine, columns, name), schema)
+
+    key_names = [f"__key_{i}" for i in range(len(keys))]
+    heavy = tagged.filter(F.col(LAST_CHUNK) > 0).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, key_names)],
+        F.col(CHUNK).alias("__at"),
+        *[F.col(c).alias(f"__order_{i}") for i, c in enumerate(order)],
+        F.col(value).alias("__value"),
+    )
+    carried = T.StructType(
+        [*[heavy.schema[n] for n in key_names], heavy.schema["__at"], T.StructField("__value", kind)]
+    )
+    orders = [f"__order_{i}" for i in range(len(order))]
+    totals = walk(heavy, [*key_names, "__at"], orders, _totals([*key_names, "__at"], combine), carried)
+    before = F.broadcast(  # one row per chunk of a split key
+        walk(totals, key_names, ["__at"], _befores(key_names, combine), carried)
+    )
+    pairs = [*zip(keys, key_names), (CHUNK, "__at")]
+    rows = tagged.join(before, same_key(tagged, before, pairs), "left").select(
+        *[tagged[c] for c in columns], CHUNK, F.col("__value").alias("__before")
     )
+    by = [*keys, CHUNK]
+    return walk(rows, by, order, _reducing(by, value, combine, columns, name), schema)
+
+
+def _combined(combine: Callable, total: Any, v: Any) -> Any:
+    if total is None or v is None:
+        return v if total is None else total
+    return combine(total, v)
+
+
+def _reducing(by: Sequence[str], value: str, combine: Callable, columns: Sequence[str], name: str):
+    """Every row with the reduction of its group so far, from ``__before`` on."""
+
+    def step(batches):
+        group, total = None, None
+        for batch in batches:
+            reduced = []
+            values = batch.column(value).to_pylist()
+            befores = batch.column("__before").to_pylist()
+            for g, v, before in zip(groups(batch, by), values, befores):
+                if g != group:
+                    group, total = g, before
+                total = _combined(combine, total, v)
+                reduced.append(total)
+            kind = batch.schema.field(value).type
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in columns], pa.array(reduced, kind)],
+                names=[*columns, name],
+            )
+
+    return step
+
+
+def _totals(by: Sequence[str], combine: Callable):
+    """One row per group with its reduction."""
+
+    def step(batches):
+        group, total, schema = None, None, None
+        for batch in batches:
+            schema = pa.schema([batch.schema.field(c) for c in [*by, "__value"]])
+            done = []
+            for g, v in zip(groups(batch, by), batch.column("__value").to_pylist()):
+                if g != group:
+                    if group is not None:
+                        done.append((*group, total))
+                    group, total = g, None
+                total = _combined(combine, total, v)
+            yield to_batch(done, schema)
+        if group is not None:
+            yield to_batch([(*group, total)], schema)
+
+    return step
+
+
+def _befores(by: Sequence[str], combine: Callable):
+    """Every chunk with the reduction of the chunks before it."""
+
+    def step(batches):
+        group, total = None, None
+        for batch in batches:
+            done = []
+            rows = zip(groups(batch, by), batch.column("__at").to_pylist(), batch.column("__value").to_pylist())
+            for g, at, v in rows:
+                if g != group:
+                    group, total = g, None
+                done.append((*g, at, total))
+                total = _combined(combine, total, v)
+            yield to_batch(done, pa.schema([batch.schema.field(c) for c in [*by, "__at", "__value"]]))
+
+    return step
 
 
 def rolling_map_count(

@@ -14,7 +14,7 @@ holding a whole key in memory. Heavy keys do not wait for one walker either:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,21 +32,10 @@ from tidemark.operators.chunks import (
     same_key,
     tag_chunks,
 )
+from tidemark.operators.walk import groups, to_batch, walk
 from tidemark.session import cut_lineage
 
 
-def _walk(df: DataFrame, by: Sequence[str], order: Sequence[str], step, schema: T.StructType) -> DataFrame:
-    """Apply ``step`` to the batches of partitions sorted by group and order."""
-    placed = df.repartition(*by) if by else df.repartition(1)
-    return placed.sortWithinPartitions(*by, *order).mapInArrow(step, schema)
-
-
-def _groups(batch: pa.RecordBatch, by: Sequence[str]) -> Iterable[tuple]:
-    if not by:
-        return [()] * batch.num_rows
-    return zip(*[batch.column(c).to_pylist() for c in by])
-
-
 # -- delta filter ---------------------------------------------------------------
 
 
@@ -88,7 +77,7 @@ def delta_filter(
             mask = []
             values = batch.column(value).to_pylist()
             starts = batch.column("__start").to_pylist()
-            for g, v, start in zip(_groups(batch, by), values, starts):
+            for g, v, start in zip(groups(batch, by), values, starts):
                 if g != group:
                     group, last = g, start
                 kept = v == 0 or abs(v - last) > limit
@@ -97,7 +86,7 @@ def delta_filter(
                 mask.append(kept)
             yield batch.filter(pa.array(mask, pa.bool_())).select(columns)
 
-    return _walk(rows, by, order, keep, df.schema)
+    return walk(rows, by, order, keep, df.schema)
 
 
 _WIDEST = 1 << 62
@@ -174,11 +163,6 @@ def _entering_states(
     start_schema = T.StructType([*key_fields, chunk_field, T.StructField("__enter", T.LongType())])
     of_chunk = [*by, "__at_chunk"]
 
-    def to_batch(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist(
-            [dict(zip(schema.names, row)) for row in found], schema=schema
-        )
-
     def summarise(batches):
         group, steps, schema = None, None, None
         for batch in batches:
@@ -188,7 +172,7 @@ def _entering_states(
                     + [pa.field(n, pa.int64()) for n in ("__low", "__high", "__outcome")]
                 )
             done = []
-            for g, v in zip(_groups(batch, of_chunk), batch.column("__value").to_pylist()):
+            for g, v in zip(groups(batch, of_chunk), batch.column("__value").to_pylist()):
                 if g != group:
                     if steps is not None:
                         done += [(*group, *s) for s in steps.steps()]
@@ -206,7 +190,7 @@ def _entering_states(
             )
             done = []
             columns = (batch.column(c).to_pylist() for c in ("__at_chunk", "__low", "__high", "__outcome"))
-            for k, c, low, high, outcome in zip(_groups(batch, by), *columns):
+            for k, c, low, high, outcome in zip(groups(batch, by), *columns):
                 if k != key:
                     key, chunk, following = k, None, initial
                 if c != chunk:
@@ -217,8 +201,8 @@ def _entering_states(
             yield to_batch(done, schema)
 
     order_names = [f"__order_{i}" for i in range(len(order))]
-    steps = _walk(heavy, of_chunk, order_names, summarise, step_schema)
-    return _walk(steps, by, ["__at_chunk", "__low"], compose, start_schema)
+    steps = walk(heavy, of_chunk, order_names, summarise, step_schema)
+    return walk(steps, by, ["__at_chunk", "__low"], compose, start_schema)
 
 
 # -- runs and adjacent intervals --------------------------------------------------
@@ -235,7 +219,6 @@ def merge_runs(
     run of a key is still open and left out unless ``include_open``.
     """
     folds = [
-        Fold(category, "min", F.col(category)),
         Fold(start, "min", F.col(start)),
         Fold(end, "max", F.col(end)),
         Fold(duration, "sum", F.col(duration)),
@@ -246,7 +229,7 @@ def merge_runs(
         df, keys, order,
         enter=F.col(category), leave=F.col(category),
         breaks=lambda previous, current: ~previous.eqNullSafe(current),
-        folds=folds, keep_open=include_open, **split,
+        folds=folds, labels=[category], keep_open=include_open, **split,
     )
 
 
@@ -308,7 +291,7 @@ def _walk_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], rec
         for batch in batches:
             starts, ends, spans, times = (batch.column(c).to_pylist() for c in record)
             emitted = []
-            for i, g in enumerate(_groups(batch, keys)):
+            for i, g in enumerate(groups(batch, keys)):
                 if g != group:
                     group, anchor = g, (starts[i], ends[i], spans[i], times[i])
                     emitted.append(False)
@@ -327,7 +310,7 @@ def _walk_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], rec
             )
             yield merged.filter(pa.array(emitted, pa.bool_()))
 
-    return _walk(df, keys, order, step, schema)
+    return walk(df, keys, order, step, schema)
 
 
 def _list_anchored(

@@ -29,6 +29,11 @@ def pane_start(ts_ms: Column, size: int) -> Column:
     return ts_ms - F.pmod(ts_ms, F.lit(size))
 
 
+def bucket(value: Column, width: int) -> Column:
+    """Number of the bucket of this width; rounds down, below zero too."""
+    return (pane_start(value, width) / width).cast("bigint")
+
+
 def tumbling(df: DataFrame, ts_ms: str, size: int) -> DataFrame:
     """Add the bounds of the row's pane."""
     start = pane_start(F.col(ts_ms), size)
@@ -38,7 +43,7 @@ def tumbling(df: DataFrame, ts_ms: str, size: int) -> DataFrame:
 def _starts(first_covered: Column, last_covered: Column, size: int, slide: int) -> Column:
     """Starts of the sliding panes that hold [first_covered, last_covered]."""
     last = pane_start(first_covered, slide)
-    first = last - F.floor((last - (last_covered - size + 1)) / slide) * slide
+    first = last - bucket(last - (last_covered - size + 1), slide) * slide
     return F.when(
         last + size > last_covered, F.sequence(first, last, F.lit(slide).cast("bigint"))
     )
@@ -176,7 +181,7 @@ def collect_panes(
         panes.withColumn("__item", item), pane, order, [count_fold("__at")], **split
     )
     return (
-        numbered.withColumn("part", F.floor((F.col("__at") - 1) / part_size))
+        numbered.withColumn("part", bucket(F.col("__at") - 1, part_size))
         .groupBy(*pane, "part")
         .agg(
             F.count(F.lit(1)).alias("n_items"),
@@ -227,7 +232,7 @@ def sessions(
     """
     folds = list(folds if folds is not None else [count_fold()])
     ts = F.col(ts_ms)
-    buckets = df.groupBy(*keys, F.floor(ts / gap).alias("__bucket")).agg(
+    buckets = df.groupBy(*keys, bucket(ts, gap).alias("__bucket")).agg(
         F.min(ts).alias("__first"),
         F.max(ts).alias("__last"),
         *[f.total(F.lit(None)).alias(f.name) for f in folds],
@@ -244,7 +249,7 @@ def sessions(
             Fold("__last", "max", F.col("__last")),
             *[Fold(f.name, "sum" if f.kind == "count" else f.kind, F.col(f.name)) for f in folds],
         ],
-        chunk=F.floor(F.col("__bucket") / buckets_per_chunk),
+        chunk=bucket(F.col("__bucket"), buckets_per_chunk),
         split_by_chunk=(df.count() if at_most is None else at_most) > rows_per_chunk,
     )
     return found.select(

@@ -86,6 +86,21 @@ def rolling_sum_all(spark, folder):
     ).select("event_id", "total")
 
 
+@report(
+    with_events(
+        f"""SELECT event_id, event_type,
+  max(cents) OVER (PARTITION BY event_type {_SO_FAR}) AS largest FROM e"""
+    )
+)
+def rolling_reduce_type(spark, folder):
+    """Running reduce by a Python function of two values, few heavy keys."""
+    rows = events(spark, folder).select("event_id", "ms", "event_type", "cents")
+    return R.rolling_reduce(
+        rows, ["event_type"], ORDER, "cents", lambda a, b: b if b > a else a, "largest",
+        rows_per_chunk=SMALL_CHUNK,
+    ).select("event_id", "event_type", "largest")
+
+
 @report(
     with_events(
         f"""SELECT event_id, user_id,
