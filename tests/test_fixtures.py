@@ -120,8 +120,7 @@ SESSION_CASES = [
 
 
 @pytest.mark.parametrize("times,gap,expected", SESSION_CASES)
-@pytest.mark.parametrize("options", [{}, {"rows_per_chunk": 1, "buckets_per_chunk": 2},
-                                     {"rows_per_chunk": 1, "buckets_per_chunk": 1}])
+@pytest.mark.parametrize("options", [{}, {"rows_per_chunk": 1}])
 def test_sessions(spark, times, gap, expected, options):
     df = make(spark, "t bigint", [(t,) for t in times])
     out = W.sessions(df, [], "t", gap, **options)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-ROWS_PER_CHUNK = 1_000_000
+ROWS_PER_CHUNK = 4_000_000
 SAMPLES_PER_CHUNK = 32
 MAX_BOUNDS = 250_000
 
@@ -73,16 +73,17 @@ def tag_chunks(
     every = max(1, rows_per_chunk // SAMPLES_PER_CHUNK)
     samples = (
         df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
-        .select(*keys, position(order).alias("__at"))
+        .select(*keys, position(order).alias("__chunk_at"))
+        .distinct()
         .withColumn(
-            "__rank",
-            F.row_number().over(Window.partitionBy(*keys).orderBy("__at")),
+            "__chunk_rank",
+            F.row_number().over(Window.partitionBy(*keys).orderBy("__chunk_at")),
         )
     )
     bounds = (
-        samples.filter(F.col("__rank") % SAMPLES_PER_CHUNK == 0)
+        samples.filter(F.col("__chunk_rank") % SAMPLES_PER_CHUNK == 0)
         .groupBy(*[F.col(k).alias(f"__split_{i}") for i, k in enumerate(keys)])
-        .agg(F.array_sort(F.collect_set("__at")).alias("__bounds"))
+        .agg(F.array_sort(F.collect_set("__chunk_at")).alias("__chunk_bounds"))
     )
     bounds = cut_lineage(bounds)  # read below by the rows and by the carries
     halves = (2 * rows // rows_per_chunk + 64).bit_length()
@@ -90,26 +91,32 @@ def tag_chunks(
         on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
         found = df.join(F.broadcast(bounds), on, "left")
     else:
-        found = df.withColumn("__bounds", bounds.scalar())
-    tagged = found.select(
-        *[df[c] for c in df.columns],
-        _bounds_passed(F.col("__bounds"), position(order), halves).alias(CHUNK),
-        F.coalesce(F.size("__bounds"), F.lit(0)).alias(LAST_CHUNK),
-    )
-    return tagged, True
-
-
-def _bounds_passed(bounds: Column, at: Column, halves: int) -> Column:
-    """How many of the sorted ``bounds`` are <= ``at``, by halving steps."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(halves))])
-    passed = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda done, step: F.when(
-            F.get(bounds, done + step - 1) <= at, done + step
-        ).otherwise(done),
+        found = df.withColumn("__chunk_bounds", bounds.scalar())
+    return _with_chunk(found, df.columns, order, halves), True
+
+
+def _with_chunk(df: DataFrame, columns: Sequence[str], order: Sequence[str], halves: int) -> DataFrame:
+    """Number the row's chunk: how many of the sorted bounds are <= its position.
+
+    A binary search, one projection per halving step. All steps are compiled
+    into the stage that reads the rows, so the array of bounds is only pointed
+    at there, and never copied into a row.
+    """
+    found = df.withColumns({"__chunk_at": position(order), "__chunk_passed": F.lit(0)})
+    for i in reversed(range(halves)):
+        step = 1 << i
+        bound = F.get("__chunk_bounds", F.col("__chunk_passed") + (step - 1))
+        found = found.withColumn(
+            "__chunk_passed",
+            F.col("__chunk_passed") + F.when(bound <= F.col("__chunk_at"), step).otherwise(0),
+        )
+    return found.select(
+        *columns,
+        F.col("__chunk_passed").alias(CHUNK),
+        F.least(
+            F.coalesce(F.size("__chunk_bounds"), F.lit(0)), F.lit((1 << halves) - 1)
+        ).alias(LAST_CHUNK),
     )
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(passed)
 
 
 @dataclass(frozen=True)
@@ -238,10 +245,11 @@ def islands(
     leave: Column,
     breaks: Callable[[Column, Column], Column],
     folds: Sequence[Fold],
+    first_enter: str,
+    last_leave: str,
     labels: Sequence[str] = (),
     keep_open: bool = True,
-    chunk: Column | None = None,
-    split_by_chunk: bool = False,
+    tagged: bool | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     at_most: int | None = None,
     costly: bool = False,
@@ -250,28 +258,23 @@ def islands(
 
     A new island starts where ``breaks(leave of the previous row, enter of this
     row)`` holds. ``labels`` are columns that have one value within an island and
-    are passed on. ``keep_open=False`` drops the last island of each key, which
-    no later row has closed. Only the first and last island of a chunk can go
-    on in a neighbour, so only those are merged across chunks.
-
-    A caller that knows a bounded chunking of its own passes ``chunk``, and
-    ``split_by_chunk`` to say whether it should be used.
+    are passed on. ``first_enter`` and ``last_leave`` name the labels or folds
+    that equal the enter of the first and the leave of the last row of an
+    island. ``keep_open=False`` drops the last island of each key, which no
+    later row has closed.
+
+    Only the first and last island of a chunk can go on in a neighbour, so only
+    those are merged across chunks, two rows per chunk of a heavy key.
+    ``tagged`` says that ``df`` has its chunks already, and if there are any.
     """
-    if chunk is None:
-        tagged, split = tag_chunks(df, keys, order, rows_per_chunk, at_most, costly)
+    if tagged is None:
+        df, split = tag_chunks(df, keys, order, rows_per_chunk, at_most, costly)
     else:
-        if not keep_open:
-            raise ValueError("open islands are known only for sampled chunks")
-        split = split_by_chunk
-        tagged = df.withColumns(
-            {
-                CHUNK: chunk if split else F.lit(0),
-                LAST_CHUNK: F.lit(1 if split else 0),
-            }
-        )
-    ordered = Window.partitionBy(*keys, *([CHUNK] if split else [])).orderBy(*order)
+        split = tagged
+    part = [*keys, *([CHUNK, LAST_CHUNK] if split else [])]
+    ordered = Window.partitionBy(*part).orderBy(*order)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = tagged.withColumns({"__enter": enter, "__leave": leave})
+    rows = df.withColumns({"__enter": enter, "__leave": leave})
     rows = rows.withColumns(
         {
             "__starts": F.lag(F.lit(1)).over(ordered).isNull()
@@ -279,37 +282,31 @@ def islands(
             "__tail": F.lead(F.lit(1)).over(ordered).isNull(),
         }
     ).withColumn("__island", F.count(F.when(F.col("__starts"), 1)).over(so_far))
-
-    at = position(order)
-    totals = [f.total(at).alias(f.name) for f in folds]
-    tail = F.max("__tail").alias("__tail")
+    local = rows.groupBy(*part, "__island", *labels).agg(
+        *[f.total(position(order)).alias(f.name) for f in folds],
+        F.max("__tail").alias("__tail"),
+    )
     names = [*labels, *[f.name for f in folds]]
     if not split:
-        found = rows.groupBy(*keys, "__island", *labels).agg(*totals, tail)
         if not keep_open:
-            found = found.filter(~F.col("__tail"))
-        return found.select(*keys, *names)
-
-    local = rows.groupBy(*keys, CHUNK, LAST_CHUNK, "__island", *labels).agg(
-        *totals,
-        tail,
-        F.min_by("__enter", at).alias("__enter"),
-        F.max_by("__leave", at).alias("__leave"),
-    )
-    in_split = F.col(LAST_CHUNK) > 0
+            local = local.filter(~F.col("__tail"))
+        return local.select(*keys, *names)
+
+    heavy = F.col(LAST_CHUNK) > 0
     at_edge = (F.col("__island") == 1) | F.col("__tail")
-    inner = local.filter(~(in_split & at_edge))
+    inner = local.filter(~(heavy & at_edge))
     if not keep_open:
-        inner = inner.filter(in_split | ~F.col("__tail"))
+        inner = inner.filter(heavy | ~F.col("__tail"))
 
     by_chunk = Window.partitionBy(*keys).orderBy(CHUNK, "__island")
     edges = (
-        local.filter(in_split & at_edge)
+        local.filter(heavy)
+        .filter(at_edge)
         .withColumn(
             "__starts",
             F.lag(F.lit(1)).over(by_chunk).isNull()
             | (F.lag(CHUNK).over(by_chunk) == F.col(CHUNK))
-            | breaks(F.lag("__leave").over(by_chunk), F.col("__enter")),
+            | breaks(F.lag(last_leave).over(by_chunk), F.col(first_enter)),
         )
         .withColumn(
             "__group",

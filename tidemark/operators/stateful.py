@@ -229,7 +229,8 @@ def merge_runs(
         df, keys, order,
         enter=F.col(category), leave=F.col(category),
         breaks=lambda previous, current: ~previous.eqNullSafe(current),
-        folds=folds, labels=[category], keep_open=include_open, **split,
+        folds=folds, labels=[category], first_enter=category, last_leave=category,
+        keep_open=include_open, **split,
     )
 
 
@@ -252,6 +253,7 @@ def merge_chains(
             Fold(duration, "sum", F.col(duration)),
             Fold(time_of_day, "min", F.col(time_of_day)),
         ],
+        first_enter=start, last_leave=end,
         **split,
     )
 

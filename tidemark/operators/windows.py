@@ -16,7 +16,15 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.chunks import ROWS_PER_CHUNK, Fold, islands, running
+from tidemark.operators.chunks import (
+    CHUNK,
+    LAST_CHUNK,
+    ROWS_PER_CHUNK,
+    Fold,
+    islands,
+    running,
+    tag_chunks,
+)
 
 W_START = "w_start"
 W_END = "w_end"
@@ -215,24 +223,25 @@ def first_of_each(
 
 # -- sessions ------------------------------------------------------------------
 
-BUCKETS_PER_CHUNK = 1_000_000
-
 
 def sessions(
     df: DataFrame, keys: Sequence[str], ts_ms: str, gap: int,
     folds: Sequence[Fold] | None = None, rows_per_chunk: int = ROWS_PER_CHUNK,
-    at_most: int | None = None, buckets_per_chunk: int = BUCKETS_PER_CHUNK,
+    at_most: int | None = None, costly: bool = False,
 ) -> DataFrame:
     """Session panes ``[first, last + gap)``; touching sessions are one.
 
-    Rows closer than the gap are in one session anyway, so rows are first
-    aggregated (with a map-side part) to one per key and ``gap`` of time. What
-    is left is bounded by time, not by rows, and is cut into time ranges of
-    ``buckets_per_chunk`` such buckets when the table is large.
+    Rows in the same ``gap`` of time are in one session anyway, so rows are
+    first aggregated (with a map-side part) to one per key and such bucket.
+    Sessions are islands of these buckets.
     """
     folds = list(folds if folds is not None else [count_fold()])
     ts = F.col(ts_ms)
-    buckets = df.groupBy(*keys, bucket(ts, gap).alias("__bucket")).agg(
+    tagged, split = tag_chunks(
+        df.withColumn("__bucket", bucket(ts, gap)), keys, ["__bucket"],
+        rows_per_chunk, at_most, costly,
+    )
+    buckets = tagged.groupBy(*keys, CHUNK, LAST_CHUNK, "__bucket").agg(
         F.min(ts).alias("__first"),
         F.max(ts).alias("__last"),
         *[f.total(F.lit(None)).alias(f.name) for f in folds],
@@ -249,8 +258,9 @@ def sessions(
             Fold("__last", "max", F.col("__last")),
             *[Fold(f.name, "sum" if f.kind == "count" else f.kind, F.col(f.name)) for f in folds],
         ],
-        chunk=bucket(F.col("__bucket"), buckets_per_chunk),
-        split_by_chunk=(df.count() if at_most is None else at_most) > rows_per_chunk,
+        first_enter=W_START,
+        last_leave="__last",
+        tagged=split,
     )
     return found.select(
         *keys, W_START, (F.col("__last") + gap).alias(W_END), *[f.name for f in folds]
