@@ -39,10 +39,10 @@ def test_filters(spark):
 
 
 SENTENCES = [
-    ("The Apache Flink community is excited to announce the release of Flink ML!",),
-    ("This release focuses on enriching Flink MLs feature engineering algorithms.",),
-    ("The library now includes thirty three feature engineering algorithms,",),
-    ("making it a more comprehensive library for feature engineering tasks.",),
+    ("The river community is excited to announce the opening of Mill Park!",),
+    ("This opening focuses on widening the river and its paths.",),
+    ("Visitors now find thirty three benches,",),
+    ("making it a more pleasant park for longer walks.",),
 ]
 
 

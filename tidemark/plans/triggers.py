@@ -29,8 +29,8 @@ def count_trigger(spark, folder):
     with_events(
         f"""SELECT pane_number, peak_start, peak_start + {HOUR} AS peak_end, peak_count
 FROM (SELECT n, row_number() OVER w AS pane_number,
-    -(max(n * 100000000000000 - w_start) OVER w
-      - (max(n) OVER w) * 100000000000000) AS peak_start,
+    -(max(n * 10000000000000 - w_start) OVER w
+      - (max(n) OVER w) * 10000000000000) AS peak_start,
     max(n) OVER w AS peak_count
   FROM c WINDOW w AS (ORDER BY w_start ROWS UNBOUNDED PRECEDING)) t
 WHERE pane_number >= n""",
