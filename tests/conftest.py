@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         app_name="tests",
         master="local[8]",
         settings={
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

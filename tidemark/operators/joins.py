@@ -16,13 +16,14 @@ from tidemark.operators.chunks import (
     same_key,
 )
 from tidemark.operators.windows import bucket, pane_start
+from tidemark.session import cut_lineage
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def _heavy(df: DataFrame, on: Sequence[str], row_id: Sequence[str], rows: int, per_salt: int, name: str) -> DataFrame:
+def _heavy(df: DataFrame, on: Sequence[str], row_id: Sequence[str], per_salt: int, name: str) -> DataFrame:
     """Join groups with more than about ``per_salt`` rows, from a hash sample.
 
     There are at most ``rows / per_salt`` of them. The sample decides only how
@@ -54,9 +55,10 @@ def salted_join(
     cells: list[str] = []
     if max(left_rows, right_rows) > rows_per_salt:
         per_salt = max(rows_per_salt, (left_rows + right_rows) // MAX_BOUNDS)
-        parts = _heavy(left, on, left_id, left_rows, per_salt, "__l").join(
-            _heavy(right, on, right_id, right_rows, per_salt, "__r"), list(on), "full"
+        parts = _heavy(left, on, left_id, per_salt, "__l").join(
+            _heavy(right, on, right_id, per_salt, "__r"), list(on), "full"
         )
+        parts = cut_lineage(parts)  # small, read by both sides
         left = _cells(left, parts, on, left_id, own="__l", other="__r")
         right = _cells(right, parts, on, right_id, own="__r", other="__l")
         cells = ["__l", "__r"]

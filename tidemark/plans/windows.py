@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import fahrenheit_to_celsius
 from tidemark.operators import windows as W
 from tidemark.operators.chunks import Fold
 from tidemark.operators.eventtime import side_output, split_late, with_lateness
@@ -48,6 +49,26 @@ def tumbling_avg_key(spark, folder):
     )
 
 
+@report(
+    with_events(
+        f"""SELECT user_id AS id, {pane('ms', DAY)} + {DAY} AS ts,
+  (CAST(sum(cents) AS BIGINT) / CAST(count(*) AS DOUBLE) / 100 - 32)
+    * (CAST(5 AS DOUBLE) / CAST(9 AS DOUBLE)) AS celsius
+FROM e GROUP BY user_id, {pane('ms', DAY)}"""
+    )
+)
+def sensor_average(spark, folder):
+    """Mean reading per sensor and day in degrees Celsius, at the end of the pane."""
+    means = W.average_tumbling(
+        events(spark, folder), ["user_id"], "ms", DAY, F.col("cents")
+    )
+    return means.select(
+        F.col("user_id").alias("id"),
+        F.col(W.W_END).alias("ts"),
+        fahrenheit_to_celsius(F.col("mean") / 100).alias("celsius"),
+    )
+
+
 def _extreme_sql(direction: str) -> str:
     return with_events(
         f"""SELECT event_type, {_HOURLY}, event_id, cents FROM (

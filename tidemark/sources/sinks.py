@@ -18,15 +18,20 @@ def labelled(df: DataFrame, label: str) -> DataFrame:
 
 def print_stream(
     df: DataFrame, checkpoint: str, label: str | None = None, mode: str = "append",
-    sink: str = "console",
+    sink: str = "console", every: str | None = None,
 ) -> StreamingQuery:
-    """Print a stream; with ``sink="memory"`` it fills a table named by the label."""
+    """Print a stream; with ``sink="memory"`` it fills a table named by the label.
+
+    ``every`` is the micro-batch interval, at which watermarks advance; without
+    it the query handles what is there and ends.
+    """
     writer = df.writeStream.format(sink).outputMode(mode)
     if sink != "memory":
         writer = writer.option("checkpointLocation", checkpoint)
     if label:
         writer = writer.queryName(label)
-    return writer.trigger(availableNow=True).start()
+    pace = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**pace).start()
 
 
 def to_all(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], Write]]):
