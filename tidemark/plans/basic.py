@@ -11,7 +11,7 @@ from tidemark.functions import schemas
 from tidemark.plans.inputs import events, with_events
 from tidemark.plans.registry import report
 from tidemark.session import shared_folder
-from tidemark.sources.readers import decode_csv_value, generated_users, table
+from tidemark.sources.readers import decode_csv_value, generated_users, spread, table
 from tidemark.sources.sinks import insert_select as insert_into
 
 
@@ -102,7 +102,8 @@ def calendar_fields(spark, folder):
 SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY word"""
 )
 def token_counts(spark, folder):
-    words = table(spark, folder, "documents").select(
+    texts = spread(table(spark, folder, "documents").select("text"))
+    words = texts.select(
         F.explode(S.lower_split(F.col("text"))).alias("word")
     )
     return words.filter(F.col("word") != "").groupBy("word").agg(

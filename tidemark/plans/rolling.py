@@ -8,7 +8,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import rolling as R
 from tidemark.plans.inputs import ORDER, SMALL_CHUNK, events, with_events
 from tidemark.plans.registry import report
-from tidemark.sources.readers import known_values, table
+from tidemark.sources.readers import known_values, spread, table
 
 _SO_FAR = "ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING"
 
@@ -23,7 +23,8 @@ FROM tokens WHERE word IN ('the', 'a')"""
 )
 def article_rolling(spark, folder):
     """Running count of each article over all documents: two very heavy keys."""
-    tokens = table(spark, folder, "documents").select(
+    texts = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    tokens = texts.select(
         "doc_id", F.posexplode(S.lower_split(F.col("text"))).alias("pos", "word")
     )
     articles = tokens.filter(F.col("word").isin("the", "a"))

@@ -168,3 +168,13 @@ def known_values(df: DataFrame, column: str, limit: int = 1000) -> list[str] | N
     """The sorted distinct values of a column, or None if they exceed ``limit``."""
     found = df.select(column).distinct().limit(limit + 1).collect()
     return sorted(row[0] for row in found) if len(found) <= limit else None
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions for costly work on each row of a small table.
+
+    A small file is often a single row group, which one task reads. A scan that
+    has a split per core already is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
