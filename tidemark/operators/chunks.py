@@ -9,8 +9,10 @@ comes from one small aggregate row per chunk.
 * The cut points come from a hash sample of the rows, so every chunk has about
   ``rows_per_chunk`` rows whatever the distribution of keys and times. The
   sample only places the cuts; results always use all rows.
-* There are at most ``rows / rows_per_chunk`` cut points, and never more than
-  about ``MAX_BOUNDS``, so cut points and carries are safe to broadcast.
+* There are at most about ``rows / rows_per_chunk`` cut points, and never many
+  more than ``MAX_BOUNDS``. They are counted before they are broadcast; the
+  carries are one row per cut point and heavy key.
+* Where no key is heavy, the plain window is taken.
 * The wide input is shuffled once, by (key, chunk). Finding cuts and carries
   costs one more narrow read each, with map-side aggregation.
 * An input of at most ``rows_per_chunk`` rows is a plain window: no group in it
@@ -86,19 +88,25 @@ def tag_chunks(
         .agg(F.array_sort(F.collect_set("__chunk_at")).alias("__chunk_bounds"))
     )
     bounds = cut_lineage(bounds)  # read below by the rows and by the carries
-    halves = (2 * rows // rows_per_chunk + 64).bit_length()
-    if keys:
-        on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
-        found = df.join(F.broadcast(bounds), on, "left")
-    else:
+    size = F.size("__chunk_bounds")
+    total, most = bounds.agg(
+        F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))
+    ).first()
+    if total == 0:  # no key is heavy
+        return df.withColumns({CHUNK: F.lit(0), LAST_CHUNK: F.lit(0)}), False
+    if not keys:
         found = df.withColumn("__chunk_bounds", bounds.scalar())
-    return _with_chunk(found, df.columns, order, halves), True
+    else:
+        on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
+        small = total <= 2 * MAX_BOUNDS
+        found = df.join(F.broadcast(bounds) if small else bounds, on, "left")
+    return _with_chunk(found, df.columns, order, most.bit_length()), True
 
 
 def _with_chunk(df: DataFrame, columns: Sequence[str], order: Sequence[str], halves: int) -> DataFrame:
     """Number the row's chunk: how many of the sorted bounds are <= its position.
 
-    A binary search, one projection per halving step. All steps are compiled
+    A binary search, one projection per halving step of the longest array. All steps are compiled
     into the stage that reads the rows, so the array of bounds is only pointed
     at there, and never copied into a row.
     """
@@ -113,9 +121,7 @@ def _with_chunk(df: DataFrame, columns: Sequence[str], order: Sequence[str], hal
     return found.select(
         *columns,
         F.col("__chunk_passed").alias(CHUNK),
-        F.least(
-            F.coalesce(F.size("__chunk_bounds"), F.lit(0)), F.lit((1 << halves) - 1)
-        ).alias(LAST_CHUNK),
+        F.coalesce(F.size("__chunk_bounds"), F.lit(0)).alias(LAST_CHUNK),
     )
 
 

@@ -58,10 +58,14 @@ def salted_join(
         parts = _heavy(left, on, left_id, per_salt, "__l").join(
             _heavy(right, on, right_id, per_salt, "__r"), list(on), "full"
         )
-        parts = cut_lineage(parts)  # small, read by both sides
-        left = _cells(left, parts, on, left_id, own="__l", other="__r")
-        right = _cells(right, parts, on, right_id, own="__r", other="__l")
-        cells = ["__l", "__r"]
+        parts = cut_lineage(parts)  # read by both sides
+        heavy = parts.count()
+        if heavy:
+            if heavy <= 2 * MAX_BOUNDS:
+                parts = F.broadcast(parts)
+            left = _cells(left, parts, on, left_id, own="__l", other="__r")
+            right = _cells(right, parts, on, right_id, own="__r", other="__l")
+            cells = ["__l", "__r"]
     joined = left.join(right, [*on, *cells], "inner").drop(*cells)
     return joined if condition is None else joined.filter(condition)
 
@@ -73,7 +77,7 @@ def _cells(df: DataFrame, parts: DataFrame, on: Sequence[str], row_id: Sequence[
         F.coalesce(other, F.lit(1)).alias("__other"),
     )
     marked = df.join(
-        F.broadcast(sizes),
+        sizes,
         same_key(df, sizes, [(c, f"__on_{i}") for i, c in enumerate(on)]),
         "left",
     )

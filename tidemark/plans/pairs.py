@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import interval_join as join_interval
 from tidemark.operators.joins import window_join as join_window
-from tidemark.plans.inputs import HOUR, SMALL_CHUNK, events, pane, with_events
+from tidemark.plans.inputs import DAY, HOUR, events, pane, with_events
 from tidemark.plans.registry import report
 
 
@@ -63,15 +63,16 @@ def window_join(spark, folder):
 
 @report(
     with_events(
-        f"""SELECT p.store, {pane('purchase_ms', HOUR)} AS w_start, purchase_id, click_id
+        f"""SELECT p.store, {pane('purchase_ms', 3 * DAY)} AS w_start, count(*) AS pairs,
+  CAST(sum(abs(purchase_ms - click_ms)) AS BIGINT) AS apart_ms
 FROM ps p JOIN cs c ON p.store = c.store
-  AND {pane('purchase_ms', HOUR)} = {pane('click_ms', HOUR)}""",
+  AND {pane('purchase_ms', 3 * DAY)} = {pane('click_ms', 3 * DAY)} GROUP BY 1, 2""",
         "ps AS (SELECT store, event_id AS purchase_id, ms AS purchase_ms FROM e WHERE event_type = 'purchase')",
         "cs AS (SELECT store, event_id AS click_id, ms AS click_ms FROM e WHERE event_type = 'click')",
     )
 )
 def window_join_store(spark, folder):
-    """The same per store and hour: few keys, heavy groups are salted."""
+    """Pairs per store and three days: heavy groups, joined in salted parts."""
 
     def side(event_type, prefix):
         rows = events(spark, folder).filter(F.col("event_type") == event_type)
@@ -79,8 +80,12 @@ def window_join_store(spark, folder):
             "store", F.col("event_id").alias(f"{prefix}_id"), F.col("ms").alias(f"{prefix}_ms")
         )
 
-    return join_window(
+    pairs = join_window(
         side("purchase", "purchase"), side("click", "click"),
-        "store", "purchase_ms", "click_ms", HOUR, ["purchase_id"], ["click_id"],
-        rows_per_salt=SMALL_CHUNK,
-    ).select("store", "w_start", "purchase_id", "click_id")
+        "store", "purchase_ms", "click_ms", 3 * DAY, ["purchase_id"], ["click_id"],
+        rows_per_salt=32,
+    )
+    return pairs.groupBy("store", "w_start").agg(
+        F.count(F.lit(1)).alias("pairs"),
+        F.sum(F.abs(F.col("purchase_ms") - F.col("click_ms"))).alias("apart_ms"),
+    )
