@@ -1,3 +1,11 @@
 """Event-stream analytics as PySpark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few Python functions that run in tasks travel with the job, so that
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
