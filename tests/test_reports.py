@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import differences
+from tidemark.plans.registry import load_all
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load_all()
 
 
 def test_every_report_has_sql():
