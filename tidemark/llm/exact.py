@@ -25,6 +25,8 @@ from tidemark.session import ROCKSDB_PROVIDER, cut_lineage
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Otherwise each of many small state partitions reserves megabytes of disk.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
