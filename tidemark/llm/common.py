@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import shared_folder
 
@@ -45,6 +46,11 @@ def text_slices(
             yield batch.slice(start)
 
 
+def with_key(df: DataFrame, key: str, more: str) -> T.StructType:
+    """Result schema of a task function: the key as it is in ``df``, then ``more``."""
+    return T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL(more).fields])
+
+
 def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], rows: int, salts: int = 64) -> DataFrame:
     """Inner null-safe join with a table of ``rows`` rows, unique in ``on``.
 

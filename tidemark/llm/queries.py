@@ -107,3 +107,36 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return planned.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repetitions")).alias("taken")
     )
+
+
+@query()
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.simhash import near_duplicates
+
+    found = near_duplicates(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.pieces import digests, encode_decode
+
+    return digests(encode_decode(read(spark, folder, "documents"), piece_model()))
+
+
+@query()
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.language import held_out, identify, train
+
+    docs = read(spark, folder, "documents")
+    model = train(docs.filter(~held_out(F.col("doc_id"))))
+    found = identify(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
