@@ -156,7 +156,9 @@ def _state(whole: DataFrame, intake: str, files_per_batch: int | None) -> DataFr
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     query.awaitTermination()
     saved = spark.read.schema(T.StructType([*counted.schema.fields, T.StructField("batch", T.LongType())]))
-    return (
+    # Written once more, so that a join with it finds two plain shuffles and can
+    # split the rows of a digest that very many documents share.
+    return cut_lineage(
         saved.parquet(updates)
         .groupBy("digest")
         .agg(F.max_by(F.struct("best", "n"), "batch").alias("last"))
