@@ -170,7 +170,9 @@ def near_duplicates(
     linked = nodes.join(roots, F.col("fingerprint") == F.col("node"))
     least = linked.groupBy("root").agg(F.min("least").alias("least_of_all"))
     named = roots.join(least, "root").select(F.col("node").alias("fingerprint"), "least_of_all")
-    names = nodes.join(named, "fingerprint", "left").select(
+    # Written, so that the last join has a plain shuffle on either side and can
+    # split the rows of a fingerprint that very many documents share.
+    names = cut_lineage(nodes.join(named, "fingerprint", "left").select(
         "fingerprint", F.coalesce("least_of_all", "least").alias("component_id")
-    )
+    ))
     return rows.join(names, "fingerprint").select("doc_id", "fingerprint", "component_id")
