@@ -44,6 +44,7 @@ SCRIPT_RANGES = (
 )
 _FIRSTS = [first for first, _ in SCRIPT_RANGES]
 SCRIPTS = tuple(dict.fromkeys(name for _, name in SCRIPT_RANGES))
+_OTHER = SCRIPTS.index("other")
 
 _RUN = re.compile(r"[^\W\d_]+")
 
@@ -61,14 +62,38 @@ def letters(word: str) -> int:
     return sum(map(str.isalpha, word))
 
 
-def grams(word: str, sizes: tuple[int, ...], buckets: int) -> list[int]:
-    """Hashed n-grams of a word with its ends marked, and the word itself."""
-    if len(word) > 64:  # a run without breaks: its parts, without ends
-        return [zlib.crc32(word[i : i + n].encode("utf-8", "replace")) % buckets
-                for n in sizes for i in range(len(word) - n + 1)]
-    marked = f" {word} "
-    found = [marked[i : i + n] for n in sizes for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % buckets for g in (*found, marked)]
+def grams(words: list[str], sizes: tuple[int, ...], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashed n-grams of words with their ends marked, then the words themselves.
+
+    A pair per size: the buckets of all words in a row, and how many each word has.
+    All words are hashed together, as one array of code points.
+    """
+    codes = np.frombuffer("".join(f" {w} " for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = _mixed(codes.astype(np.uint64))
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(lengths)
+    to_end = np.repeat(ends, lengths) - np.arange(len(codes))
+    found = []
+    for n in sizes:
+        if len(codes) < n:
+            found.append((np.empty(0, np.int64), np.zeros(len(words), np.int64)))
+            continue
+        rolled = np.zeros(len(codes) - n + 1, np.uint64)
+        for i in range(n):
+            rolled = rolled * _FACTOR + codes[i : len(codes) - n + 1 + i]
+        inside = rolled[to_end[: len(rolled)] >= n]
+        found.append(((_mixed(inside + np.uint64(n)) % np.uint64(buckets)).astype(np.int64), np.maximum(lengths - n + 1, 0)))
+    whole = np.add.reduceat(codes * (2 * to_end + 1).astype(np.uint64), ends - lengths)
+    found.append(((_mixed(whole) % np.uint64(buckets)).astype(np.int64), np.ones(len(words), np.int64)))
+    return found
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
 
 @dataclass(frozen=True)
@@ -81,16 +106,19 @@ class Model:
     sizes: tuple[int, ...]
     switch: float
 
-    def score(self, word: str) -> np.ndarray:
-        """Score of each language; minus infinity where the script rules it out."""
-        rows = self.weights[grams(word, self.sizes, len(self.weights))]
-        score = rows.sum(axis=0) / len(self.sizes)
-        letter = next((c for c in word if c.isalpha()), None)
-        if letter is not None:
-            open_to = self.scripts[script(letter)]
-            if open_to.any() and not open_to.all():
-                score = np.where(open_to, score, -np.inf)
-        return score.astype(np.float32)
+    def score(self, words: list[str]) -> np.ndarray:
+        """Scores of words per language; minus infinity where the script rules one out."""
+        total = np.zeros((len(words), len(self.languages)))
+        for bucket, counts in grams(words, self.sizes, len(self.weights)):
+            sums = np.concatenate([np.zeros((1, total.shape[1])), np.cumsum(self.weights[bucket], axis=0, dtype=np.float64)])
+            stops = np.cumsum(counts)
+            total += sums[stops] - sums[stops - counts]
+        total /= len(self.sizes)
+        first = (next((c for c in w if c.isalpha()), None) for w in words)
+        of = np.array([_OTHER if c is None else script(c) for c in first])
+        open_to = self.scripts[of]
+        narrowed = open_to.any(axis=1, keepdims=True) & ~open_to
+        return np.where(narrowed, -np.inf, total).astype(np.float32)
 
 
 def train(
@@ -129,10 +157,14 @@ def train(
             for body, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 held = seen.setdefault(name, np.zeros(buckets, np.int64))
                 used = scripts.setdefault(name, Counter())
-                # A word counts with the root of its repeats in a text.
-                for word, times in Counter(words_of(body)).items():
-                    np.add.at(held, grams(word, sizes, buckets), 1 + times.bit_length())
-                    used.update(script(c) for c in word[:8] if c.isalpha())
+                told = Counter(words_of(body))
+                if not told:
+                    continue
+                # A word's repeats within a text count less and less.
+                times = np.array([1 + n.bit_length() for n in told.values()])
+                for bucket, each in grams(list(told), sizes, buckets):
+                    held += np.bincount(bucket, np.repeat(times, each), buckets).astype(np.int64)
+                used.update(script(c) for w in told for c in w[:8] if c.isalpha())
         for name, held in seen.items():
             at = np.flatnonzero(held)
             more = sorted(scripts[name])
@@ -206,7 +238,7 @@ class Labeller:
         new = list(set().union(*texts) - self.place.keys())
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         if new:
-            self.scores = np.concatenate([self.scores, np.stack([self.model.score(w) for w in new])])
+            self.scores = np.concatenate([self.scores, self.model.score(new)])
             self.letters = np.concatenate([self.letters, np.array([letters(w) for w in new])])
         return np.fromiter((self.place[w] for t in texts for w in t), np.int64, sum(map(len, texts)))
 
