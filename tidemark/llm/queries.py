@@ -140,3 +140,75 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     found = identify(docs, model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM p),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM g),
+c AS (SELECT DISTINCT doc_id, i + k AS i FROM f, generate_series(0, 12) AS s(k) WHERE first < doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id),
+x AS (SELECT d.doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM d),
+k AS (
+  SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS kept
+  FROM x ANTI JOIN c ON x.doc_id = c.doc_id AND x.i = c.i GROUP BY x.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN k ON d.doc_id = k.doc_id"""
+)
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.passages import remove_repeats
+
+    found = remove_repeats(read(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+# The block list of the query: canonical URLs of pages whose text offers one of these.
+SPAM = r"(?i)\b(casino|jackpot|viagra|pills|free money|click here|buy now)\b|spam-farm|cheap-pills"
+
+_HOST_SQL = r"""
+WITH r AS (
+  SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT page_id, html,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+c AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '(/|\.html)$', '')
+            END AS canonical FROM p),
+l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(coalesce(html, '') || ' ' || host, '""" + SPAM + r"""')),
+j AS (
+  SELECT c.*, l.canonical IS NOT NULL AS listed,
+         CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+              WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+              WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+              WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+              WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM c LEFT JOIN l ON c.canonical = l.canonical)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+FROM j"""
+
+
+@query(_HOST_SQL)
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.urls import canonical, host, judge, path
+
+    pages = read(spark, folder, "pages")
+    at = F.coalesce(host(F.col("url")), F.lit(""))
+    spam = F.concat(F.coalesce("html", F.lit("")), F.lit(" "), at).rlike(SPAM)
+    named = canonical(at, F.coalesce(path(F.col("url")), F.lit("")))
+    listed = pages.filter(spam).select(named.alias("canonical"))
+    return judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
