@@ -212,3 +212,25 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     named = canonical(at, F.coalesce(path(F.col("url")), F.lit("")))
     listed = pages.filter(spam).select(named.alias("canonical"))
     return judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.neighbours import nearest
+
+    return nearest(read(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
+@query()
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.pii import pseudonymised
+
+    return pseudonymised(read(spark, folder, "documents"), key="documents")
+
+
+@query()
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.quality import fit, score
+
+    docs = read(spark, folder, "documents")
+    return score(docs, fit(docs))
