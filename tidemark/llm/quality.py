@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -102,27 +103,24 @@ def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 100) -> Weak
 
 
 def features(bits: int):
-    """Hashed bucket of a word's body, and of its shape, remembered per word."""
+    """Function from a word to the hashed buckets of its body and of its shape."""
 
-    class Known(dict):
-        def __missing__(self, word: str) -> tuple[int, int]:
-            shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d", "9", _LETTERS.sub("a", _CAPS.sub("A", word))))
-            found = tuple(zlib.crc32(t.encode("utf-8", "replace")) % (1 << bits) for t in (word.lower(), " " + shape))
-            if len(self) < 300_000 and len(word) < 100:
-                self[word] = found
-            return found
+    def of(word: str) -> tuple[int, int]:
+        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d", "9", _LETTERS.sub("a", _CAPS.sub("A", word))))
+        return tuple(zlib.crc32(t.encode("utf-8", "replace")) % (1 << bits) for t in (word.lower(), " " + shape))
 
-    return Known()
+    return of
 
 
-def shares(text: str | None, known, bits: int) -> np.ndarray:
+def shares(text: str | None, buckets, bits: int) -> np.ndarray:
     """Share of each bucket in a text, with one for repeats of a word in a row."""
+    found = np.zeros((1 << bits) + 1)
     words = (text or "").split()
-    if not words:
-        return np.zeros((1 << bits) + 1)
-    at = np.fromiter((i for w in words for i in known[w]), np.int64, 2 * len(words))
-    found = np.bincount(at, minlength=(1 << bits) + 1).astype(float) / len(words)
-    found[-1] = sum(a == b for a, b in zip(words, words[1:])) / len(words)
+    for word, n in Counter(words).items():
+        for i in buckets(word):
+            found[i] += n / len(words)
+    if words:
+        found[-1] = sum(map(eq, words, words[1:])) / len(words)
     return found
 
 
@@ -133,10 +131,25 @@ class Scorer:
     offset: float
     bits: int
 
+    def weigh(self):
+        """Weight of a word, remembered per word: its body's and its shape's."""
+        buckets, weights = features(self.bits), self.weights
+
+        class Known(dict):
+            def __missing__(self, word: str) -> float:
+                found = float(sum(weights[i] for i in buckets(word)))
+                if len(self) < 300_000 and len(word) < 100:
+                    self[word] = found
+                return found
+
+        return Known()
+
     def score(self, text: str | None, known) -> float:
-        if not (text or "").split():
+        words = (text or "").split()
+        if not words:
             return 0.0
-        return float(1 / (1 + np.exp(-(shares(text, known, self.bits) @ self.weights + self.offset))))
+        total = sum(map(known.__getitem__, words)) + self.weights[-1] * sum(map(eq, words, words[1:]))
+        return float(1 / (1 + np.exp(-(total / len(words) + self.offset))))
 
 
 def fit(
@@ -167,9 +180,9 @@ def fit(
     chosen = rows.filter(place < F.lit(int(1_000_000 * sample / total) + 1))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = features(bits)
+        buckets = features(bits)
         for batch in text_slices(batches, "text"):
-            out = [(votes(t), x) for t in batch.column("text").to_pylist() for x in [shares(t, known, bits)]]
+            out = [(votes(t), x) for t in batch.column("text").to_pylist() for x in [shares(t, buckets, bits)]]
             at = [np.flatnonzero(x) for _, x in out]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v for v, _ in out], pa.string()), pa.array(at, pa.list_(pa.int64())),
@@ -204,25 +217,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, epochs: int, seed: int) -> tuple[np.
 
 
 def score(docs: DataFrame, scorer: Scorer | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, votes, label_score, score, keep) of every row, from its whole text.
+    """(doc_id, score, keep) of every row, from its whole text.
 
     A text that is null or has no words scores 0. Rows may repeat; other columns
     take no part; an empty table gives an empty result.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = with_key(rows, "doc_id", "votes string, label_score double, score double, keep boolean")
+    schema = with_key(rows, "doc_id", "score double, keep boolean")
     if scorer is None:
         return docs.sparkSession.createDataFrame([], schema)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = features(scorer.bits)
+        known = scorer.weigh()
         for batch in text_slices(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            told = [votes(t) for t in texts]
-            scores = np.array([scorer.score(t, known) for t in texts])
+            scores = np.array([scorer.score(t, known) for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(told, pa.string()), pa.array(scorer.labels.posterior(told)),
-                 pa.array(scores), pa.array(scores >= 0.5)], schema.names
+                [batch.column("doc_id"), pa.array(scores), pa.array(scores >= 0.5)], schema.names
             )
 
     return rows.mapInArrow(apply, schema)
