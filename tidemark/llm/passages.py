@@ -12,17 +12,17 @@ starts in a document with a smaller id.
    its first and last document; a window is repeated where a bucket has a
    document after the first one of all. A passage that very many documents
    share is one row per bucket in either step.
-3. Each bucket gets its repeated phrases with the first document of each. They
-   are compiled into Aho-Corasick automata, a bounded number of phrases per
-   automaton and a character per distinct word of those, and all documents of the bucket
-   are streamed through them, which locates every occurrence.
+3. Each bucket gets its repeated windows with the first document of each. Their
+   anchor phrases are compiled into Aho-Corasick automata, a bounded number per
+   automaton, and all documents of the bucket are streamed through them, which
+   locates every occurrence; the windows around one are looked up.
 
-Hashes of windows have 64 bits; texts of one bucket are compared in full.
+Hashes of windows have 64 bits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,22 +121,26 @@ def _numbers(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-_NO_WORD = chr(0)
+_BASE = 16
 
 
-def _char(i: int) -> str:
-    """A character for a word's number in its automaton; surrogates are left out."""
-    return chr(i + 1 if i < 0xD7FF else i + 0x801)
+def _code(number: int, length: int) -> str:
+    """A word's number as letters of a small alphabet, which keeps the tries narrow."""
+    found = []
+    for _ in range(length):
+        number, digit = divmod(number, _BASE)
+        found.append(chr(65 + digit))
+    return "".join(found)
 
 
-def _remove(width: int, phrases: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _remove(width: int, run: int, phrases: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def apply(table: pa.Table, repeated: pa.Table) -> pa.Table:
         held = _Bucket(table)
         window = _numbers(repeated, "window")
         order = np.argsort(window)
         window = window[order]
         first = _numbers(repeated, "first").view(np.int64)[order]
-        covered = _covered(held, window, first, width, phrases)
+        covered = _covered(held, window, first, width, run, phrases)
         kept = [
             b" ".join([w for w, gone in zip(words, mask.tolist()) if not gone]) if mask.any() else b" ".join(words)
             for words, mask in zip(held.words, covered)
@@ -151,40 +155,68 @@ def _remove(width: int, phrases: int) -> Callable[[pa.Table, pa.Table], pa.Table
     return apply
 
 
-def _covered(held: _Bucket, window: np.ndarray, first: np.ndarray, width: int, phrases: int) -> list[np.ndarray]:
-    """Which words of each document are in a phrase that an earlier document has."""
+def _covered(
+    held: _Bucket, window: np.ndarray, first: np.ndarray, width: int, run: int, phrases: int
+) -> list[np.ndarray]:
+    """Which words of each document are in a window that an earlier document has."""
+    covered = [np.zeros(len(w), bool) for w in held.words]
+    for automaton, code in _automata(held, window, width, run, phrases):
+        length = len(next(iter(code.values())))
+        other = "a" * length  # in no phrase
+        for words, h, doc, mask in zip(held.words, held.hashes, held.ids.tolist(), covered):
+            if len(words) < width:
+                continue
+            text = "".join([code.get(w, other) for w in words])
+            ends = np.fromiter((end for end, _ in automaton.iter(text)), np.int64) + 1
+            starts = ends[ends % length == 0] // length - run
+            if not len(starts):
+                continue
+            # Windows over a phrase that was found, then those that were confirmed.
+            near = _spread(np.maximum(starts - (width - run), 0), np.minimum(starts + 1, len(h) - width + 1), len(h))
+            at = np.flatnonzero(near[: len(h) - width + 1])
+            place = _in(_runs(h, width)[at], window)
+            at = at[(place >= 0) & (first[place] < doc)]
+            mask |= _spread(at, at + width, len(h))
+    return covered
+
+
+def _spread(starts: np.ndarray, stops: np.ndarray, length: int) -> np.ndarray:
+    """True from each start up to its stop."""
+    step = np.zeros(length + 1, np.int64)
+    np.add.at(step, starts, 1)
+    np.add.at(step, stops, -1)
+    return np.cumsum(step)[:-1] > 0
+
+
+def _automata(held: _Bucket, window: np.ndarray, width: int, run: int, phrases: int) -> Iterator[tuple]:
+    """Automata over the anchor phrases of the bucket's repeated windows, and the codes of their words."""
     import ahocorasick
 
-    covered = [np.zeros(len(w), bool) for w in held.words]
-    # Where in the bucket each phrase starts for the first time.
-    doc_of, start_of = np.full(len(window), -1), np.zeros(len(window), np.int64)
-    for number, h in enumerate(held.hashes):
-        if len(h) >= width and len(window):
-            at = _in(_runs(h, width), window)
-            starts = np.flatnonzero(at >= 0)
-            starts = starts[doc_of[at[starts]] < 0][::-1]
-            doc_of[at[starts]], start_of[at[starts]] = number, starts
-    here = np.flatnonzero(doc_of >= 0)
-    for shard in np.split(here, range(phrases, len(here), phrases)):
-        if not len(shard):
+    seen: dict[int, tuple[int, list[bytes]]] = {}
+    for words, h in zip(held.words, held.hashes):
+        if len(h) < width or not len(window):
             continue
-        char: dict[bytes, str] = {}
+        repeated = _in(_runs(h, width), window) >= 0
+        wanted = np.unique(_anchors(h, width, run)[repeated])
+        runs = _runs(h, run)
+        for i in np.flatnonzero(_in(runs, wanted) >= 0).tolist():
+            seen.setdefault(int(runs[i]), (i, words))
+    found = [words[i : i + run] for i, words in seen.values()]
+    for start in range(0, len(found), phrases):
+        shard = found[start : start + phrases]
+        numbers: dict[bytes, int] = {}
+        for words in shard:
+            for w in words:
+                numbers.setdefault(w, len(numbers))
+        length = 1
+        while _BASE**length < len(numbers):
+            length += 1
+        code = {w: _code(n, length) for w, n in numbers.items()}
         automaton = ahocorasick.Automaton()
-        for number, start, doc in zip(doc_of[shard].tolist(), start_of[shard].tolist(), first[shard].tolist()):
-            words = held.words[number][start : start + width]
-            automaton.add_word("".join([char.setdefault(w, _char(len(char))) for w in words]), doc)
+        for words in shard:
+            automaton.add_word("".join([code[w] for w in words]), 0)
         automaton.make_automaton()
-        for words, doc, mask in zip(held.words, held.ids.tolist(), covered):
-            if len(words) < width:
-                continue
-            text = "".join([char.get(w, _NO_WORD) for w in words])
-            ends = np.array([end for end, of in automaton.iter(text) if of < doc], np.int64)
-            if len(ends):
-                step = np.zeros(len(text) + 1, np.int64)
-                step[ends - width + 1] += 1
-                step[ends + 1] -= 1
-                mask |= np.cumsum(step)[:-1] > 0
-    return covered
+        yield automaton, code
 
 
 def remove_repeats(
@@ -221,5 +253,5 @@ def remove_repeats(
     phrase = windows.withColumn("start", F.min("first").over(Window.partitionBy("window"))).filter("last > start")
     phrase = phrase.select(bucket_of(F.col("first")).alias("bucket"), "window", F.col("start").alias("first"))
     return dealt.cogroup(phrase.groupBy("bucket")).applyInArrow(
-        _remove(width, phrases), "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+        _remove(width, run, phrases), "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     )
