@@ -23,6 +23,7 @@ Hashes of windows have 64 bits.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice, product, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -124,13 +125,13 @@ def _numbers(table: pa.Table, column: str) -> np.ndarray:
 _BASE = 16
 
 
-def _code(number: int, length: int) -> str:
-    """A word's number as letters of a small alphabet, which keeps the tries narrow."""
-    found = []
-    for _ in range(length):
-        number, digit = divmod(number, _BASE)
-        found.append(chr(65 + digit))
-    return "".join(found)
+def _codes(n: int) -> Iterator[str]:
+    """Words' codes in letters of a small alphabet, which keeps the tries narrow."""
+    length = 1
+    while _BASE**length < n:
+        length += 1
+    letters = [chr(65 + i) for i in range(_BASE)]
+    return map("".join, islice(product(letters, repeat=length), n))
 
 
 def _remove(width: int, run: int, phrases: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -160,13 +161,14 @@ def _covered(
 ) -> list[np.ndarray]:
     """Which words of each document are in a window that an earlier document has."""
     covered = [np.zeros(len(w), bool) for w in held.words]
-    for automaton, code in _automata(held, window, width, run, phrases):
+    places = [_in(_runs(h, width), window) if len(h) >= width else None for h in held.hashes]
+    for automaton, code in _automata(held, places, width, run, phrases):
         length = len(next(iter(code.values())))
-        other = "a" * length  # in no phrase
-        for words, h, doc, mask in zip(held.words, held.hashes, held.ids.tolist(), covered):
-            if len(words) < width:
+        other = repeat("a" * length)  # in no phrase
+        for words, h, doc, mask, place in zip(held.words, held.hashes, held.ids.tolist(), covered, places):
+            if place is None:
                 continue
-            text = "".join([code.get(w, other) for w in words])
+            text = "".join(map(code.get, words, other))
             ends = np.fromiter((end for end, _ in automaton.iter(text)), np.int64) + 1
             starts = ends[ends % length == 0] // length - run
             if not len(starts):
@@ -174,8 +176,7 @@ def _covered(
             # Windows over a phrase that was found, then those that were confirmed.
             near = _spread(np.maximum(starts - (width - run), 0), np.minimum(starts + 1, len(h) - width + 1), len(h))
             at = np.flatnonzero(near[: len(h) - width + 1])
-            place = _in(_runs(h, width)[at], window)
-            at = at[(place >= 0) & (first[place] < doc)]
+            at = at[(place[at] >= 0) & (first[place[at]] < doc)]
             mask |= _spread(at, at + width, len(h))
     return covered
 
@@ -188,15 +189,14 @@ def _spread(starts: np.ndarray, stops: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(step)[:-1] > 0
 
 
-def _automata(held: _Bucket, window: np.ndarray, width: int, run: int, phrases: int) -> Iterator[tuple]:
+def _automata(held: _Bucket, places: list, width: int, run: int, phrases: int) -> Iterator[tuple]:
     """Automata over the anchor phrases of the bucket's repeated windows, and the codes of their words."""
     import ahocorasick
 
     seen: dict[int, tuple[int, list[bytes]]] = {}
-    for words, h in zip(held.words, held.hashes):
-        if len(h) < width or not len(window):
+    for words, h, place in zip(held.words, held.hashes, places):
+        if place is None or not (repeated := place >= 0).any():
             continue
-        repeated = _in(_runs(h, width), window) >= 0
         wanted = np.unique(_anchors(h, width, run)[repeated])
         runs = _runs(h, run)
         for i in np.flatnonzero(_in(runs, wanted) >= 0).tolist():
@@ -208,10 +208,7 @@ def _automata(held: _Bucket, window: np.ndarray, width: int, run: int, phrases:
         for words in shard:
             for w in words:
                 numbers.setdefault(w, len(numbers))
-        length = 1
-        while _BASE**length < len(numbers):
-            length += 1
-        code = {w: _code(n, length) for w, n in numbers.items()}
+        code = dict(zip(numbers, _codes(len(numbers))))
         automaton = ahocorasick.Automaton()
         for words in shard:
             automaton.add_word("".join([code[w] for w in words]), 0)
