@@ -25,7 +25,10 @@ _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _ISO = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 _SLASHED = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 _PHONE = r"(?<![\d+(])(?:\+?1[ .-]?)?(?:\([1-9]\d{2}\) ?\d{3}[ .-]?|[1-9]\d{2}[ .-]\d{3}[ .-])\d{4}(?!\d)"
-_CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
+_CARD = (
+    r"(?<!\d)(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,4}|\d{4}(?:-\d{4}){2}-\d{1,4}"
+    r"|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!\d)"
+)
 PATTERN = "|".join((_EMAIL, _IP, _SSN, _ISO, _SLASHED, _PHONE, _CARD))
 
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # up to 2099-12-31
