@@ -194,7 +194,7 @@ def test_anchored_merge(spark, small_chunks, step):
 def test_salted_join_meets_every_pair_once(df, data, small_chunks):
     left = df.select("k", F.col("i").alias("l"))
     right = df.filter("i % 3 = 0").select("k", F.col("i").alias("r"))
-    out = joins.salted_join(left, right, ["k"], ["l"], ["r"], rows_per_salt=50)
+    out = joins.salted_join(left, right, ["k"], ["l"], ["r"], pairs_per_cell=2_500)
     expected = defaultdict(int)
     for a in data:
         for b in data:

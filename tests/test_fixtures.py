@@ -156,12 +156,12 @@ JOIN_LEFT = [("B", t) for t in (2000, 3000, 8000, 10000)]
 JOIN_RIGHT = [("B", 1000, "B1-1"), ("B", 1000, "B1-2"), ("B", 2000, "B2"), ("B", 5000, "B5"), ("B", 10000, "B10")]
 
 
-@pytest.mark.parametrize("rows_per_salt", [1_000, 1])
-def test_interval_join(spark, rows_per_salt):
+@pytest.mark.parametrize("pairs_per_cell", [1_000_000, 1])
+def test_interval_join(spark, pairs_per_cell):
     left = make(spark, "k string, lt bigint", JOIN_LEFT).withColumnRenamed("arrival", "la")
     right = make(spark, "k string, rt bigint, name string", JOIN_RIGHT).withColumnRenamed("arrival", "ra")
     out = joins.interval_join(
-        left, right, "k", "lt", "rt", -2000, 1000, ["la"], ["ra"], rows_per_salt=rows_per_salt
+        left, right, "k", "lt", "rt", -2000, 1000, ["la"], ["ra"], pairs_per_cell=pairs_per_cell
     )
     assert sorted(got(out, "lt", "name", "joined_ts")) == [
         (2000, "B1-1", 2000), (2000, "B1-2", 2000), (2000, "B2", 2000),

@@ -12,7 +12,7 @@ MS_PER_DAY = 86_400_000
 
 def _whole(value: Column, unit: int) -> Column:
     """Whole units in an integer; rounds down."""
-    return ((value - F.pmod(value, F.lit(unit))) / unit).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, F.lit(unit)), F.lit(unit).cast("bigint"))
 
 
 def lower_split(text: Column) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,30 +89,37 @@ def accumulate(
     partial_schema = T.StructType([*key_fields, T.StructField("__partial", T.BinaryType())])
     key_list = list(keys)
 
-    def flush(held: dict) -> pd.DataFrame:
-        frame = pd.DataFrame([[*k, pickle.dumps(a)] for k, a in held.items()],
-                             columns=[*key_list, "__partial"])
-        held.clear()
-        return frame
+    # Keys stay in Arrow: as pandas numbers, large ones next to a null lose digits.
+    def flush(held: dict, kinds: list) -> pa.RecordBatch:
+        columns = [pa.array(c, k) for c, k in zip(zip(*held), kinds)]
+        partials = pa.array([pickle.dumps(a) for a in held.values()], pa.binary())
+        return pa.RecordBatch.from_arrays([*columns, partials], [*key_list, "__partial"])
 
-    def within_task(frames):
+    def within_task(batches):
         held: dict = {}
-        for frame in frames:
-            for key, group in frame.groupby(key_list, dropna=False, sort=False):
+        kinds: list = []
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in key_list]
+            places: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*[batch.column(k).to_pylist() for k in key_list])):
+                places.setdefault(key, []).append(i)
+            for key, at in places.items():
                 started = held[key] if key in held else aggregate.create()
-                held[key] = aggregate.add(started, group)
+                held[key] = aggregate.add(started, batch.take(pa.array(at)).to_pandas())
             if len(held) > _KEYS_IN_MEMORY:
-                yield flush(held)
+                yield flush(held, kinds)
+                held.clear()
         if held:
-            yield flush(held)
+            yield flush(held, kinds)
 
-    def across_tasks(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def across_tasks(key: tuple, table: pa.Table) -> pa.Table:
         total = None
-        for partial in frame["__partial"]:
+        for partial in table.column("__partial").to_pylist():
             accumulator = pickle.loads(partial)
             total = accumulator if total is None else aggregate.merge(total, accumulator)
-        return pd.DataFrame([[*key, aggregate.result(total)]], columns=[*key_list, name])
+        keys_of = {k: table.column(k).slice(0, 1) for k in key_list}
+        return pa.table({**keys_of, name: pa.array([aggregate.result(total)])})
 
     result = T.StructType([*key_fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields])
-    partials = rows.mapInPandas(within_task, partial_schema)
-    return partials.groupBy(*keys).applyInPandas(across_tasks, result)
+    partials = rows.mapInArrow(within_task, partial_schema)
+    return partials.groupBy(*keys).applyInArrow(across_tasks, result)

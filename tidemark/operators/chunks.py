@@ -9,14 +9,13 @@ comes from one small aggregate row per chunk.
 * The cut points come from a hash sample of the rows, so every chunk has about
   ``rows_per_chunk`` rows whatever the distribution of keys and times. The
   sample only places the cuts; results always use all rows.
-* There are at most about ``rows / rows_per_chunk`` cut points, and never many
-  more than ``MAX_BOUNDS``. They are counted before they are broadcast; the
-  carries are one row per cut point and heavy key.
-* Where no key is heavy, the plain window is taken.
+* There are about ``rows / rows_per_chunk`` cut points, in heavy keys only.
+  They are counted before they are broadcast; the carries are one row per cut
+  point and heavy key.
+* Tables of all sizes take the same way: where nothing is cut, all rows are in
+  chunk 0, and there is no carry to join.
 * The wide input is shuffled once, by (key, chunk). Finding cuts and carries
   costs one more narrow read each, with map-side aggregation.
-* An input of at most ``rows_per_chunk`` rows is a plain window: no group in it
-  can be larger than a chunk.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from tidemark.session import cut_lineage
 
 ROWS_PER_CHUNK = 4_000_000
 SAMPLES_PER_CHUNK = 32
-MAX_BOUNDS = 250_000
+MAX_BOUNDS = 250_000  # cut points of a broadcast: twice this number at most
 
 CHUNK = "__chunk"
 LAST_CHUNK = "__last_chunk"
@@ -55,23 +54,16 @@ def tag_chunks(
     keys: Sequence[str],
     order: Sequence[str],
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    at_most: int | None = None,
     costly: bool = False,
-) -> tuple[DataFrame, bool]:
+) -> tuple[DataFrame, int]:
     """Add ``__chunk`` (0, 1, ...) and ``__last_chunk`` to every row.
 
-    ``at_most`` is a known bound of the row count and saves counting.
     ``costly`` says that ``df`` is more than a scan; it is then computed once,
     into the shared folder, before it is read several times.
-    Returns the tagged rows and whether any key was split at all.
+    Returns the tagged rows and the number of cuts in all keys.
     """
-    if costly and (at_most is None or at_most > rows_per_chunk):
+    if costly:
         df = cut_lineage(df)
-    rows = df.count() if at_most is None else at_most
-    if rows <= rows_per_chunk:
-        return df.withColumns({CHUNK: F.lit(0), LAST_CHUNK: F.lit(0)}), False
-
-    rows_per_chunk = max(rows_per_chunk, rows // MAX_BOUNDS)
     every = max(1, rows_per_chunk // SAMPLES_PER_CHUNK)
     samples = (
         df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
@@ -93,14 +85,14 @@ def tag_chunks(
         F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))
     ).first()
     if total == 0:  # no key is heavy
-        return df.withColumns({CHUNK: F.lit(0), LAST_CHUNK: F.lit(0)}), False
+        return df.withColumns({CHUNK: F.lit(0), LAST_CHUNK: F.lit(0)}), 0
     if not keys:
         found = df.withColumn("__chunk_bounds", bounds.scalar())
     else:
         on = same_key(df, bounds, [(k, f"__split_{i}") for i, k in enumerate(keys)])
         small = total <= 2 * MAX_BOUNDS
         found = df.join(F.broadcast(bounds) if small else bounds, on, "left")
-    return _with_chunk(found, df.columns, order, most.bit_length()), True
+    return _with_chunk(found, df.columns, order, most.bit_length()), total
 
 
 def _with_chunk(df: DataFrame, columns: Sequence[str], order: Sequence[str], halves: int) -> DataFrame:
@@ -121,7 +113,8 @@ def _with_chunk(df: DataFrame, columns: Sequence[str], order: Sequence[str], hal
     return found.select(
         *columns,
         F.col("__chunk_passed").alias(CHUNK),
-        F.coalesce(F.size("__chunk_bounds"), F.lit(0)).alias(LAST_CHUNK),
+        # The size of null is -1 where ANSI mode is off.
+        F.when(F.col("__chunk_bounds").isNull(), 0).otherwise(F.size("__chunk_bounds")).alias(LAST_CHUNK),
     )
 
 
@@ -190,6 +183,11 @@ class Fold:
 _PLAIN = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def narrow(carry: DataFrame, cuts: int, wide: bool = False) -> DataFrame:
+    """Broadcast rows per chunk if they are few and of bounded width."""
+    return F.broadcast(carry) if cuts <= 2 * MAX_BOUNDS and not wide else carry
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -198,7 +196,6 @@ def running(
     *,
     exclusive: bool = False,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    at_most: int | None = None,
     costly: bool = False,
 ) -> DataFrame:
     """One output row per input row, with each fold over the key's rows so far.
@@ -206,7 +203,7 @@ def running(
     ``order`` must be unique within a key. ``exclusive`` leaves the row itself
     out. ``keys`` may be empty: the whole table is then one key.
     """
-    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, at_most, costly)
+    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
     last = -1 if exclusive else Window.currentRow
     ordered = Window.partitionBy(*keys, *([CHUNK] if split else [])).orderBy(*order)
     frame = ordered.rowsBetween(Window.unboundedPreceding, last)
@@ -230,8 +227,8 @@ def running(
         F.col(CHUNK).alias("__carry_chunk"),
         *[f.before(F.col(f.name), earlier).alias(f"__{f.name}") for f in folds],
     )
-    if not any(f.kind == "list" for f in folds):
-        carry = F.broadcast(carry)  # one row per chunk of a split key
+    # One row per chunk of a split key.
+    carry = narrow(carry, split, wide=any(f.kind == "list" for f in folds))
     pairs = [(k, f"__carry_{i}") for i, k in enumerate(keys)]
     joined = local.join(
         carry, same_key(local, carry, [*pairs, (CHUNK, "__carry_chunk")]), "left"
@@ -255,9 +252,8 @@ def islands(
     last_leave: str,
     labels: Sequence[str] = (),
     keep_open: bool = True,
-    tagged: bool | None = None,
+    tagged: int | None = None,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    at_most: int | None = None,
     costly: bool = False,
 ) -> DataFrame:
     """Collapse consecutive rows of a key into one row per island.
@@ -274,7 +270,7 @@ def islands(
     ``tagged`` says that ``df`` has its chunks already, and if there are any.
     """
     if tagged is None:
-        df, split = tag_chunks(df, keys, order, rows_per_chunk, at_most, costly)
+        df, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
     else:
         split = tagged
     part = [*keys, *([CHUNK, LAST_CHUNK] if split else [])]

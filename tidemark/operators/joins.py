@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,53 +20,72 @@ from tidemark.operators.windows import bucket, pane_start
 from tidemark.session import cut_lineage
 
 
+PAIRS_PER_CELL = 100_000_000
+
+
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def _heavy(df: DataFrame, on: Sequence[str], row_id: Sequence[str], per_salt: int, name: str) -> DataFrame:
-    """Join groups with more than about ``per_salt`` rows, from a hash sample.
-
-    There are at most ``rows / per_salt`` of them. The sample decides only how
-    many parts a group is cut into, never which rows are joined.
-    """
-    every = max(1, per_salt // SAMPLES_PER_CHUNK)
+def _group_sizes(df: DataFrame, on: Sequence[str], row_id: Sequence[str], every: int, name: str) -> DataFrame:
+    """Rows of each join group, estimated from a hash sample of one row in ``every``."""
     return (
         df.filter(F.pmod(F.xxhash64(*row_id), F.lit(every)) == 0)
         .groupBy(*on)
-        .agg(F.ceil(F.count(F.lit(1)) / SAMPLES_PER_CHUNK).alias(name))
-        .filter(F.col(name) > 1)
+        .agg((F.count(F.lit(1)) * every).alias(name))
+    )
+
+
+def _grid(left: DataFrame, right: DataFrame, on: Sequence[str], every: int, pairs_per_cell: int) -> DataFrame:
+    """Parts on either side of groups with more pairs than a cell may have.
+
+    A side is cut only as far as it is long: the shorter one into parts of the
+    square root of the budget, the longer one so that a cell keeps the budget.
+    A group that is in the sample of one side only counts as ``every`` rows on
+    the other.
+    """
+    side = isqrt(pairs_per_cell) or 1
+    sizes = left.join(right, list(on), "full").select(
+        *on, F.coalesce("__l", F.lit(every)).alias("l"), F.coalesce("__r", F.lit(every)).alias("r")
+    )
+    short, long = F.least("l", "r"), F.greatest("l", "r")
+    few = F.ceil(short / side)
+    many = F.ceil(long * (short / few) / pairs_per_cell)
+    return sizes.filter((F.col("l").cast("double") * F.col("r")) > pairs_per_cell).select(
+        *on,
+        F.when(F.col("l") >= F.col("r"), many).otherwise(few).alias("__l"),
+        F.when(F.col("l") >= F.col("r"), few).otherwise(many).alias("__r"),
     )
 
 
 def salted_join(
     left: DataFrame, right: DataFrame, on: Sequence[str],
     left_id: Sequence[str], right_id: Sequence[str],
-    condition: Column | None = None, rows_per_salt: int = ROWS_PER_CHUNK,
-    left_rows: int | None = None, right_rows: int | None = None,
+    condition: Column | None = None, pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
-    """Inner equi-join that cuts heavy join groups into a grid of parts.
+    """Inner equi-join that cuts heavy join groups into a grid of cells.
 
     Both sides have the ``on`` columns; all other column names must differ.
     Rows of a heavy group get a part on their own side and a copy for each part
-    of the other side, so every pair of rows meets in exactly one cell.
+    of the other side, so every pair of rows meets in exactly one cell, and a
+    cell has about ``pairs_per_cell`` pairs at most. The sample decides only how
+    a group is cut, never which rows are joined.
     """
-    left_rows = left.count() if left_rows is None else left_rows
-    right_rows = right.count() if right_rows is None else right_rows
-    cells: list[str] = []
-    if max(left_rows, right_rows) > rows_per_salt:
-        per_salt = max(rows_per_salt, (left_rows + right_rows) // MAX_BOUNDS)
-        parts = _heavy(left, on, left_id, per_salt, "__l").join(
-            _heavy(right, on, right_id, per_salt, "__r"), list(on), "full"
+    left, right = (df.dropna(subset=list(on)) for df in (left, right))
+    every = max(1, isqrt(pairs_per_cell) // SAMPLES_PER_CHUNK)
+    parts = cut_lineage(  # read by both sides
+        _grid(
+            _group_sizes(left, on, left_id, every, "__l"), _group_sizes(right, on, right_id, every, "__r"),
+            on, every, pairs_per_cell,
         )
-        parts = cut_lineage(parts)  # read by both sides
-        heavy = parts.count()
-        if heavy:
-            if heavy <= 2 * MAX_BOUNDS:
-                parts = F.broadcast(parts)
-            left = _cells(left, parts, on, left_id, own="__l", other="__r")
-            right = _cells(right, parts, on, right_id, own="__r", other="__l")
-            cells = ["__l", "__r"]
+    )
+    cells: list[str] = []
+    if heavy := parts.count():
+        if heavy <= 2 * MAX_BOUNDS:
+            parts = F.broadcast(parts)
+        left = _cells(left, parts, on, left_id, own="__l", other="__r")
+        right = _cells(right, parts, on, right_id, own="__r", other="__l")
+        cells = ["__l", "__r"]
     joined = left.join(right, [*on, *cells], "inner").drop(*cells)
     return joined if condition is None else joined.filter(condition)
 
@@ -166,7 +186,7 @@ def delivery_status(order_ms: Column, delivery_ms: Column, limit_ms: int) -> Col
 def match_deliveries(
     orders: DataFrame, deliveries: DataFrame, order_id: str, delivery_order_id: str,
     order_ms: str, delivery_ms: str, limit_ms: int, number: str = "class_number",
-    rows_per_chunk: int = ROWS_PER_CHUNK, at_most: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """One-to-one match of orders and deliveries, classified and numbered.
 
@@ -187,6 +207,5 @@ def match_deliveries(
         [delivery_ms, order_id],
         [Fold(number, "count", F.lit(1))],
         rows_per_chunk=rows_per_chunk,
-        at_most=orders.count() if at_most is None else at_most,
         costly=True,
     )

@@ -20,6 +20,7 @@ from tidemark.operators.chunks import (
     LAST_CHUNK,
     ROWS_PER_CHUNK,
     Fold,
+    narrow,
     running,
     same_key,
     tag_chunks,
@@ -62,7 +63,7 @@ def rolling_list(
 def rolling_reduce(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
     combine: Callable[[Any, Any], Any], name: str = "reduced",
-    rows_per_chunk: int = ROWS_PER_CHUNK, at_most: int | None = None, costly: bool = False,
+    rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
 ) -> DataFrame:
     """Running reduce by any associative Python function of two values.
 
@@ -70,7 +71,7 @@ def rolling_reduce(
     walks the rows. Chunks of a heavy key are reduced first, and their walks
     start from what the chunks before them came to. Null values are passed over.
     """
-    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, at_most, costly)
+    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
     kind = df.schema[value].dataType
     schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
     columns = df.columns
@@ -90,8 +91,10 @@ def rolling_reduce(
     )
     orders = [f"__order_{i}" for i in range(len(order))]
     totals = walk(heavy, [*key_names, "__at"], orders, _totals([*key_names, "__at"], combine), carried)
-    before = F.broadcast(  # one row per chunk of a split key
-        walk(totals, key_names, ["__at"], _befores(key_names, combine), carried)
+    # One row per chunk of a split key; texts may hold all that came before.
+    before = narrow(
+        walk(totals, key_names, ["__at"], _befores(key_names, combine), carried),
+        split, wide=not isinstance(kind, (T.NumericType, T.BooleanType, T.DatetimeType)),
     )
     pairs = [*zip(keys, key_names), (CHUNK, "__at")]
     rows = tagged.join(before, same_key(tagged, before, pairs), "left").select(

@@ -29,6 +29,7 @@ from tidemark.operators.chunks import (
     islands,
     position,
     running,
+    narrow,
     same_key,
     tag_chunks,
 )
@@ -42,7 +43,7 @@ from tidemark.session import cut_lineage
 def delta_filter(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
     limit: int = 5, initial: int = 0, rows_per_chunk: int = ROWS_PER_CHUNK,
-    at_most: int | None = None, costly: bool = False,
+    costly: bool = False,
 ) -> DataFrame:
     """Keep a row if its value is 0 or differs by more than ``limit`` from the
     last kept one (``initial`` at first).
@@ -51,12 +52,12 @@ def delta_filter(
     """
     columns = df.columns
     rows, split = tag_chunks(
-        df.filter(F.col(value).isNotNull()), keys, order, rows_per_chunk, at_most, costly
+        df.filter(F.col(value).isNotNull()), keys, order, rows_per_chunk, costly
     )
     by = list(keys)
     if split:
         by.append(CHUNK)
-        starts = F.broadcast(_entering_states(rows, keys, order, value, limit, initial))
+        starts = narrow(_entering_states(rows, keys, order, value, limit, initial), split)
         rows = rows.join(
             starts,
             same_key(
@@ -89,7 +90,7 @@ def delta_filter(
     return walk(rows, by, order, keep, df.schema)
 
 
-_WIDEST = 1 << 62
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1  # all states: any bigint
 
 
 class StateSteps:
@@ -101,12 +102,12 @@ class StateSteps:
 
     def __init__(self, limit: int):
         self.limit = limit
-        self.same: tuple[int, int] | None = (-_WIDEST, _WIDEST)
+        self.same: tuple[int, int] | None = (_LEAST, _MOST)
         self.fixed: dict[int, list[tuple[int, int]]] = {}
 
     def add(self, v: int) -> None:
         if v == 0:
-            self.same, self.fixed = None, {0: [(-_WIDEST, _WIDEST)]}
+            self.same, self.fixed = None, {0: [(_LEAST, _MOST)]}
             return
         moved = []
         for outcome in [c for c in self.fixed if abs(v - c) > self.limit]:
@@ -261,7 +262,7 @@ def merge_chains(
 def merge_anchored(
     df: DataFrame, keys: Sequence[str], order: Sequence[str],
     start: str, end: str, duration: str, time_of_day: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK, at_most: int | None = None, costly: bool = False,
+    rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
 ) -> DataFrame:
     """Merge records into an anchor that they extend.
 
@@ -274,7 +275,7 @@ def merge_anchored(
     record = [start, end, duration, time_of_day]
     needed = list(dict.fromkeys([*keys, *order, *record]))
     tagged, split = tag_chunks(
-        df.select(*needed), keys, order, rows_per_chunk, at_most, costly
+        df.select(*needed), keys, order, rows_per_chunk, costly
     )
     light = tagged.filter(F.col(LAST_CHUNK) == 0) if split else tagged
     walked = _walk_anchored(light.select(*needed), keys, order, record)

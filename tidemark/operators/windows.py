@@ -39,13 +39,24 @@ def pane_start(ts_ms: Column, size: int) -> Column:
 
 def bucket(value: Column, width: int) -> Column:
     """Number of the bucket of this width; rounds down, below zero too."""
-    return (pane_start(value, width) / width).cast("bigint")
+    return F.call_function("div", pane_start(value, width), F.lit(width).cast("bigint"))
 
 
 def tumbling(df: DataFrame, ts_ms: str, size: int) -> DataFrame:
-    """Add the bounds of the row's pane."""
+    """Add the bounds of the row's pane. Rows without a time are in no pane."""
     start = pane_start(F.col(ts_ms), size)
-    return df.withColumns({W_START: start, W_END: start + size})
+    return _timed(df, ts_ms).withColumns({W_START: start, W_END: start + size})
+
+
+def _timed(df: DataFrame, ts_ms: str) -> DataFrame:
+    return df.filter(F.col(ts_ms).isNotNull())
+
+
+def _without_order(folds: Sequence[Fold]) -> None:
+    """Panes are merged from partial aggregates, which have no order."""
+    for f in folds:
+        if f.kind in ("last", "list"):
+            raise ValueError(f"{f.name}: use extreme_tumbling or collect_panes for {f.kind!r} of a pane")
 
 
 def _starts(first_covered: Column, last_covered: Column, size: int, slide: int) -> Column:
@@ -64,7 +75,7 @@ def sliding(df: DataFrame, ts_ms: str, size: int, slide: int) -> DataFrame:
     ``size / slide`` copies.
     """
     starts = _starts(F.col(ts_ms), F.col(ts_ms), size, slide)
-    return df.withColumn(W_START, F.explode(starts)).withColumn(
+    return _timed(df, ts_ms).withColumn(W_START, F.explode(starts)).withColumn(
         W_END, F.col(W_START) + size
     )
 
@@ -75,8 +86,9 @@ def sliding(df: DataFrame, ts_ms: str, size: int, slide: int) -> DataFrame:
 def aggregate_tumbling(
     df: DataFrame, keys: Sequence[str], ts_ms: str, size: int, folds: Sequence[Fold]
 ) -> DataFrame:
+    _without_order(folds)
     return _in_panes(
-        df.groupBy(*keys, pane_start(F.col(ts_ms), size).alias(W_START)).agg(
+        _timed(df, ts_ms).groupBy(*keys, pane_start(F.col(ts_ms), size).alias(W_START)).agg(
             *[f.total(F.lit(None)).alias(f.name) for f in folds]
         ),
         keys,
@@ -95,8 +107,9 @@ def aggregate_sliding(
     are first aggregated per slice and only slices are copied to their panes,
     so the copies no longer grow with the rows.
     """
+    _without_order(folds)
     step = gcd(size, slide)
-    slices = df.groupBy(*keys, pane_start(F.col(ts_ms), step).alias("__slice")).agg(
+    slices = _timed(df, ts_ms).groupBy(*keys, pane_start(F.col(ts_ms), step).alias("__slice")).agg(
         *[f.total(F.lit(None)).alias(f.name) for f in folds]
     )
     starts = _starts(F.col("__slice"), F.col("__slice") + step - 1, size, slide)
@@ -145,7 +158,7 @@ def extreme_tumbling(
     ranked = F.struct(value.alias("v"), *[p.alias(f"o{i}") for i, p in enumerate(position)])
     pick = F.max_by if largest else F.min_by
     picked = pick(F.struct(*record), ranked)
-    panes = df.groupBy(*keys, pane_start(F.col(ts_ms), size).alias(W_START)).agg(
+    panes = _timed(df, ts_ms).groupBy(*keys, pane_start(F.col(ts_ms), size).alias(W_START)).agg(
         picked.alias("__record")
     )
     return panes.select(
@@ -227,19 +240,20 @@ def first_of_each(
 def sessions(
     df: DataFrame, keys: Sequence[str], ts_ms: str, gap: int,
     folds: Sequence[Fold] | None = None, rows_per_chunk: int = ROWS_PER_CHUNK,
-    at_most: int | None = None, costly: bool = False,
+    costly: bool = False,
 ) -> DataFrame:
     """Session panes ``[first, last + gap)``; touching sessions are one.
 
     Rows in the same ``gap`` of time are in one session anyway, so rows are
     first aggregated (with a map-side part) to one per key and such bucket.
-    Sessions are islands of these buckets.
+    Sessions are islands of these buckets. Rows without a time are in no session.
     """
     folds = list(folds if folds is not None else [count_fold()])
+    _without_order(folds)
     ts = F.col(ts_ms)
     tagged, split = tag_chunks(
-        df.withColumn("__bucket", bucket(ts, gap)), keys, ["__bucket"],
-        rows_per_chunk, at_most, costly,
+        _timed(df, ts_ms).withColumn("__bucket", bucket(ts, gap)), keys, ["__bucket"],
+        rows_per_chunk, costly,
     )
     buckets = tagged.groupBy(*keys, CHUNK, LAST_CHUNK, "__bucket").agg(
         F.min(ts).alias("__first"),

@@ -14,10 +14,6 @@ DAY = 24 * HOUR
 
 ORDER = ["ms", "event_id"]
 
-# Chunk size of the reports whose few keys are always cut into chunks. Far
-# smaller than the default, so that this happens on the small test tables too.
-SMALL_CHUNK = 4_000
-
 STORES = 5
 
 

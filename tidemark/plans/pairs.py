@@ -83,7 +83,6 @@ def window_join_store(spark, folder):
     pairs = join_window(
         side("purchase", "purchase"), side("click", "click"),
         "store", "purchase_ms", "click_ms", 3 * DAY, ["purchase_id"], ["click_id"],
-        rows_per_salt=32,
     )
     return pairs.groupBy("store", "w_start").agg(
         F.count(F.lit(1)).alias("pairs"),

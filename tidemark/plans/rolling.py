@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import rolling as R
-from tidemark.plans.inputs import ORDER, SMALL_CHUNK, events, with_events
+from tidemark.plans.inputs import ORDER, events, with_events
 from tidemark.plans.registry import report
 from tidemark.sources.readers import known_values, spread, table
 
@@ -70,7 +70,7 @@ def rolling_sum_type(spark, folder):
     """Running usage per app: few keys, so each of them is chunked."""
     rows = events(spark, folder).select("event_id", "ms", "event_type", "cents")
     return R.rolling_sum(
-        rows, ["event_type"], ORDER, F.col("cents"), rows_per_chunk=SMALL_CHUNK
+        rows, ["event_type"], ORDER, F.col("cents")
     ).select("event_id", "event_type", "total")
 
 
@@ -83,7 +83,7 @@ def rolling_sum_all(spark, folder):
     """Running total of the whole table, which is one key."""
     rows = events(spark, folder).select("event_id", "ms", "cents")
     return R.rolling_sum(
-        rows, [], ORDER, F.col("cents"), rows_per_chunk=SMALL_CHUNK
+        rows, [], ORDER, F.col("cents")
     ).select("event_id", "total")
 
 
@@ -98,7 +98,6 @@ def rolling_reduce_type(spark, folder):
     rows = events(spark, folder).select("event_id", "ms", "event_type", "cents")
     return R.rolling_reduce(
         rows, ["event_type"], ORDER, "cents", lambda a, b: b if b > a else a, "largest",
-        rows_per_chunk=SMALL_CHUNK,
     ).select("event_id", "event_type", "largest")
 
 

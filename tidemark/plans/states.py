@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import stateful as K
-from tidemark.plans.inputs import HOUR, ORDER, SMALL_CHUNK, events, with_events
+from tidemark.plans.inputs import HOUR, ORDER, events, with_events
 from tidemark.plans.registry import report
 
 
@@ -42,7 +42,7 @@ def delta_filter_type(spark, folder):
     """The same per event type: five heavy keys, cut into chunks."""
     rows = events(spark, folder).select("event_id", "ms", "event_type", "cents")
     return K.delta_filter(
-        rows, ["event_type"], ORDER, "cents", 500, rows_per_chunk=SMALL_CHUNK // 4
+        rows, ["event_type"], ORDER, "cents", 500
     ).select("event_id", "cents")
 
 
@@ -88,7 +88,7 @@ def merge_runs(spark, folder):
 def merge_runs_store(spark, folder):
     """The same per store: five heavy keys, cut into chunks."""
     return _runs(
-        _usage_rows(spark, folder, "store"), "store", rows_per_chunk=SMALL_CHUNK // 4
+        _usage_rows(spark, folder, "store"), "store"
     )
 
 
@@ -151,7 +151,6 @@ def merge_adjacent_store(spark, folder):
     """The same per store: five heavy keys."""
     return K.merge_anchored(
         _interval_rows(spark, folder, "store"), ["store"], ORDER, *_INTERVAL,
-        rows_per_chunk=SMALL_CHUNK // 4,
     ).select("store", "event_id", *_INTERVAL)
 
 

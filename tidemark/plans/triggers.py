@@ -41,13 +41,13 @@ def dynamic_trigger(spark, folder):
     """An hour fires once as many hours were seen as it has events."""
     rows = events(spark, folder)
     panes = W.aggregate_tumbling(rows, [], "ms", HOUR, [W.count_fold()])
-    return G.dynamic_peak(panes, "n", at_most=rows.count())
+    return G.dynamic_peak(panes, "n", costly=True)
 
 
 @report(
     with_events(
-        """SELECT event_id, store, least(row_number() OVER (PARTITION BY store
-  ORDER BY ms, event_id), 51) AS retained FROM e"""
+        """SELECT event_id, store, count(*) OVER (PARTITION BY store
+  ORDER BY ms, event_id ROWS 50 PRECEDING) AS retained FROM e"""
     )
 )
 def evict_last_50(spark, folder):

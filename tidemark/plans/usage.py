@@ -48,10 +48,9 @@ def rest_periods(
     runs = K.merge_runs(recoded, [device], order, "app_name", *fields, **split)
     rest = runs.filter((F.col("app_name") == REST) & (F.col("duration_ms") >= at_least))
     merged = K.merge_chains if merge == "chain" else K.merge_anchored
-    bound = {"at_most": usage.count()} if "at_most" not in split else {}
     return merged(
         rest.drop("app_name"), [device], ["start_ms", "end_ms"], *fields,
-        costly=True, **{**split, **bound},
+        costly=True, **split,
     )
 
 

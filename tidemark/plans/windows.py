@@ -9,7 +9,7 @@ from tidemark.operators import windows as W
 from tidemark.operators.chunks import Fold
 from tidemark.operators.eventtime import side_output, split_late, with_lateness
 from tidemark.plans.inputs import (
-    DAY, HOUR, MINUTE, ORDER, SMALL_CHUNK, events, pane, with_events,
+    DAY, HOUR, MINUTE, ORDER, events, pane, with_events,
 )
 from tidemark.plans.registry import report
 
@@ -162,7 +162,6 @@ def session_count_all(spark, folder):
     """Sessions of the whole table, merged across ranges of time."""
     return W.sessions(
         events(spark, folder), [], "ms", 5 * MINUTE,
-        rows_per_chunk=SMALL_CHUNK // 4,
     )
 
 
@@ -232,7 +231,7 @@ FROM (SELECT *, coalesce(w_end <= reached, false) AS late FROM m) t GROUP BY w_s
     )
 )
 def late_split_counts(spark, folder):
-    marked = _marked(spark, folder, rows_per_chunk=SMALL_CHUNK)
+    marked = _marked(spark, folder)
     return marked.groupBy("w_start", "w_end").agg(
         F.count(F.when(~F.col("is_late"), 1)).alias("on_time"),
         F.count(F.when(F.col("is_late"), 1)).alias("late"),

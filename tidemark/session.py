@@ -49,12 +49,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only where the cluster names none (tests, a laptop) is a local one made up.
+    Only where a local session names none is a temporary one made up; on a
+    cluster that would be a disk that the executors do not share.
     """
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not folder:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -164,10 +164,12 @@ def generated_stream(
 
 
 
-def known_values(df: DataFrame, column: str, limit: int = 1000) -> list[str] | None:
-    """The sorted distinct values of a column, or None if they exceed ``limit``."""
-    found = df.select(column).distinct().limit(limit + 1).collect()
-    return sorted(row[0] for row in found) if len(found) <= limit else None
+def known_values(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
+    """The sorted distinct values of a column but null; more than ``limit`` are an error."""
+    found = df.select(column).dropna().distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"{column} has more than {limit} values")
+    return sorted(row[0] for row in found)
 
 
 def spread(df: DataFrame) -> DataFrame:
