@@ -306,3 +306,17 @@ def test_pipeline_stages(spark, folder):
     text = {r["doc_id"]: r["text"] for r in mixed.collect()}
     assert ids.count() == mixed.count()
     assert all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() for r in ids.collect())
+
+
+def test_word_table_has_all_frequent_words_once(spark):
+    texts = ["the cat sat"] * 9 + ["the dog ran"] * 5 + ["rare"] + ["x" * 300 + " the"] * 4
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    proto = pieces.read_model(spark, MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    table = pieces.word_table(df, proto)
+    assert sorted(table.words) == sorted("▁" + w for w in ("the", "cat", "sat", "dog", "ran"))
+    stops = np.cumsum(table.sizes)
+    for word, a, b in zip(table.words, stops - table.sizes, stops):
+        assert table.ids[a:b].tolist() == library.encode(word[1:])
+    assert pieces.word_table(df, proto, table_words=2).words == ["▁the"]
+    assert pieces.word_table(df.limit(0), proto).words == []

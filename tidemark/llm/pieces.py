@@ -3,16 +3,27 @@
 If no piece of the model has a marker after another character, no piece can
 cross from one marked word (a run of markers and what follows it) into the
 next, so each distinct marked word is segmented once and its ids are put back
-at all its positions. The table is a task's own and bounded; a table for the
-whole input would have to be joined to every word of it, which shuffles many
-times what the texts weigh. Models without this property, or with a
-normaliser that changes characters, encode whole texts instead.
+at all its positions.
+
+1. Tasks count their marked words; the counts of all documents are summed.
+2. Every distinct word that is frequent enough for a table of ``table_words``
+   is segmented once, by the executors, and the table goes to all tasks.
+3. Tasks look the words of a text up and put their ids in a row, position by
+   position. Words that are too rare or too long for the table are segmented
+   where they occur, into a bounded table of the task. So no text and no
+   occurrence of a word is shuffled, only distinct words are.
+
+Models without this property, or with a normaliser that changes characters,
+encode whole texts instead.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_slices, with_key
+from tidemark.session import cut_lineage
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
@@ -27,36 +39,54 @@ _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 _PROBE = "ﬁ Ａ  é ½　\t​ ­\r\n x "
 
 
+TABLE_WORDS = 200_000
+WORD_LENGTH = 64  # longest word of a table, in characters; with the above, it bounds the table
+
+
+@dataclass(frozen=True)
+class Table:
+    """Words, how many ids each has, and all ids in a row."""
+
+    words: list[str] = field(default_factory=list)
+    sizes: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int32))
+
+
+def marked_words(text: str) -> list[str]:
+    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
+def segments(library, words: list[str]) -> list[list[int]]:
+    """Ids of each marked word."""
+    # The library puts one marker before a text by itself, except an empty one.
+    found = library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
+    alone = [library.piece_to_id(MARK)]
+    return [alone if w == MARK else ids for w, ids in zip(words, found)]
+
+
 class Model:
-    """A sentencepiece model and its table of marked words."""
+    """A sentencepiece model, the table of all documents and the task's own one."""
 
-    def __init__(self, proto: bytes, table_words: int, word_length: int = 256):
+    def __init__(self, proto: bytes, table: Table, table_words: int, word_length: int = WORD_LENGTH):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        self.table_words, self.word_length = table_words, word_length
+        self.table, self.table_words, self.word_length = table, table_words, word_length
         self.by_words = by_words(self.library)
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids = np.empty(0, np.int32)
-        self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
-
-    def _segment(self, words: list[str]) -> list[list[int]]:
-        # The library puts one marker before a text by itself, except an empty one.
-        found = self.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
-        alone = [self.library.piece_to_id(MARK)]
-        return [alone if w == MARK else ids for w, ids in zip(words, found)]
+        self.place = dict(zip(self.table.words, range(len(self.table.words))))
+        self.ids, self.sizes = self.table.ids, self.table.sizes
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def _learn(self, words: set[str]) -> None:
         added = list(words)
-        segments = self._segment(added)
-        sizes = np.fromiter(map(len, segments), np.int64, len(added))
+        found = segments(self.library, added)
+        sizes = np.fromiter(map(len, found), np.int64, len(added))
         first = len(self.ids) + np.cumsum(sizes) - sizes
         self.place.update(zip(added, range(len(self.place), len(self.place) + len(added))))
-        flat = np.fromiter((i for s in segments for i in s), np.int32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, first])
         self.sizes = np.concatenate([self.sizes, sizes])
@@ -69,8 +99,8 @@ class Model:
             sizes = np.fromiter(map(len, each), np.int64, len(each))
             flat = np.fromiter((i for ids in each for i in ids), np.int32, int(sizes.sum()))
             return flat, np.concatenate([[0], np.cumsum(sizes)])
-        words = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.place) > self.table_words:
+        words = [marked_words(t) for t in texts]
+        if len(self.place) > len(self.table.words) + self.table_words:
             self._clear()
         new = set().union(*words) - self.place.keys()
         long = {w for w in new if len(w) > self.word_length}
@@ -112,21 +142,80 @@ def read_model(spark, path: str) -> bytes:
         return f.read()
 
 
+def word_table(
+    texts: DataFrame, proto: bytes, table_words: int = TABLE_WORDS, word_length: int = WORD_LENGTH
+) -> Table:
+    """The most frequent marked words of column ``text``, each segmented once.
+
+    All texts are counted. Words are taken by powers of two of their count, from
+    the top, as long as all of a power fit; a word that occurs once is left out.
+    """
+    import sentencepiece
+
+    if not by_words(sentencepiece.SentencePieceProcessor(model_proto=proto)):
+        return Table()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in text_slices(batches, "text"):
+            here = Counter(chain.from_iterable(map(marked_words, batch.column("text").to_pylist())))
+            seen.update({w: n for w, n in here.items() if len(w) <= word_length})
+            if len(seen) > TABLE_WORDS:
+                yield _counts(seen)
+                seen = Counter()
+        yield _counts(seen)
+
+    words = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = cut_lineage(words.filter("n > 1").withColumn("power", F.length(F.bin("n"))))
+    powers = words.groupBy("power").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("power")).collect()  # 64 at most
+    least, held = 65, 0
+    for r in powers:
+        held += r["words"]
+        if held > table_words:
+            break
+        least = r["power"]
+
+    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        for batch in batches:
+            found = segments(library, batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), pa.array(found, pa.list_(pa.int32()))], ["word", "ids"]
+            )
+
+    table = words.filter(F.col("power") >= least).select("word").mapInArrow(segment, "word string, ids array<int>").toArrow()
+    ids = table.column("ids").combine_chunks()
+    return Table(
+        table.column("word").to_pylist(),
+        pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64),
+        ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
+    )
+
+
+def _counts(seen: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
+    )
+
+
 def encode_decode(
     docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
-    end: bool = True, decode: bool = True, table_words: int = 200_000,
+    end: bool = True, decode: bool = True, table_words: int = TABLE_WORDS,
 ) -> DataFrame:
     """(key, ids array<int>, decoded): texts as the library encodes them, and back.
 
     Null texts count as empty; an empty text has the end id only. Texts are
-    encoded whole, a slice of rows at a time; nothing is shuffled. Rows may
-    repeat; other columns take no part. An empty table gives an empty result.
+    encoded whole, a slice of rows at a time. ``table_words`` bounds the table of
+    all documents and that of a task. Rows may repeat; other columns take no
+    part. An empty table gives an empty result.
     """
     proto = read_model(docs.sparkSession, model)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
+    table = word_table(rows.select("text"), proto, table_words)
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = Model(proto, table_words)
+        tool = Model(proto, table, table_words)
         for batch in text_slices(batches, "text"):
             flat, stops = tool.encode(batch.column("text").to_pylist(), end)
             ids = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(flat))
