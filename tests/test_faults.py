@@ -89,3 +89,33 @@ def test_cells_keep_their_budget_of_pairs(spark):
     assert set(grid) == {0}
     assert (n / 3 / grid[0][0]) * (n / 3 / grid[0][1]) < 1.5 * 40_000
     assert joins.salted_join(left, right, ["k"], ["l"], ["r"], pairs_per_cell=40_000).count() == (n // 3) ** 2 + n - n // 3
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("rows_per_chunk", [4_000_000, 20])
+def test_elements_of_sessions(spark, keys, rows_per_chunk):
+    times = [0, 3, 10, 16, 17, 40, 50, 61, 70] + list(range(100, 400, 3))
+    rows = [(k, t, i) for i, (k, t) in enumerate((k, t) for k in ("a", None) for t in times)] + [("a", None, -1)]
+    df = spark.createDataFrame(rows, "k string, t long, i long")
+    panes = windows.in_sessions(df, keys, "t", 10, rows_per_chunk=rows_per_chunk)
+    found = windows.collect_panes(panes, keys, ["t", "i"], F.col("i").cast("string"), part_size=1000, rows_per_chunk=rows_per_chunk)
+    got = sorted((r["w_start"], r["w_end"], sorted(map(int, r["items"].split(", ")))) for r in found.collect())
+    want = []
+    for group in ([["a"], [None]] if keys else [["a", None]]):
+        last = None
+        for t, i in sorted((t, i) for k, t, i in rows if k in group and t is not None):
+            if last is None or t - last > 10:
+                want.append([t, 0, []])
+            want[-1][1], last = t + 10, t
+            want[-1][2].append(i)
+    assert got == sorted((s, e, sorted(ids)) for s, e, ids in want)
+
+
+@pytest.mark.parametrize("rows_per_chunk", [4_000_000, 20])
+def test_pairs_of_a_window_are_counted_without_them(spark, rows_per_chunk):
+    left = spark.range(200).select((F.col("id") % 2).alias("k"), (F.col("id") * 7 % 90).alias("lt"), F.col("id").alias("l"))
+    right = spark.range(150).select((F.col("id") % 3).alias("k"), (F.col("id") * 11 % 90).alias("rt"), F.col("id").alias("r"))
+    found = joins.window_pairs(left, right, "k", "lt", "rt", 40, "l", "r", rows_per_chunk=rows_per_chunk)
+    pairs = joins.window_join(left, right, "k", "lt", "rt", 40, ["l"], ["r"])
+    want = pairs.groupBy("k", "w_start").agg(F.count("*").alias("pairs"), F.sum(F.abs(F.col("lt") - F.col("rt"))).alias("apart_ms"))
+    assert found.count() == want.count() and found.exceptAll(want).count() == 0

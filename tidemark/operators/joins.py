@@ -146,6 +146,41 @@ def window_join(
     ).withColumn("w_end", F.col("w_start") + size)
 
 
+def window_pairs(
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, size: int,
+    left_id: str, right_id: str, **split,
+) -> DataFrame:
+    """(key, w_start, pairs, apart_ms): the pairs of a window join, without making them.
+
+    ``apart_ms`` is the sum of the time between the two rows of all pairs. In
+    order of time, a row is apart from the earlier rows of the other side by
+    their number times its own time less the sum of theirs, so two running folds
+    per side replace the pairs. Ids have one type and are unique within a side.
+    """
+    def side(df: DataFrame, ts: str, row_id: str, is_left: bool) -> DataFrame:
+        start = pane_start(F.col(ts), size)
+        return df.select(
+            key, start.alias("w_start"), (F.col(ts) - start).alias("__at"),
+            F.lit(is_left).alias("__left"), F.col(row_id).alias("__id"),
+        ).dropna(subset=[key, "w_start"])
+
+    both = side(left, left_ts, left_id, True).unionByName(side(right, right_ts, right_id, False))
+    folds = [
+        Fold(f"__{kind}_{name}", kind, F.when(F.col("__left") == is_left, F.col("__at")))
+        for name, is_left in (("left", True), ("right", False))
+        for kind in ("count", "sum")
+    ]
+    seen = running(both, [key, "w_start"], ["__at", "__left", "__id"], folds, exclusive=True, **split)
+
+    def apart(name: str) -> Column:
+        return F.col(f"__count_{name}") * F.col("__at") - F.coalesce(f"__sum_{name}", F.lit(0))
+
+    return seen.groupBy(key, "w_start").agg(
+        (F.count(F.when(F.col("__left"), 1)) * F.count(F.when(~F.col("__left"), 1))).alias("pairs"),
+        F.sum(F.when(F.col("__left"), apart("right")).otherwise(apart("left"))).alias("apart_ms"),
+    ).filter("pairs > 0")
+
+
 def interval_join_stream(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     left_ts: str, right_ts: str, lower_ms: int, upper_ms: int,

@@ -23,6 +23,7 @@ from tidemark.operators.chunks import (
     Fold,
     islands,
     running,
+    same_key,
     tag_chunks,
 )
 
@@ -281,6 +282,28 @@ def sessions(
     )
 
 
+def in_sessions(
+    df: DataFrame, keys: Sequence[str], ts_ms: str, gap: int, **split
+) -> DataFrame:
+    """Add the bounds of the row's session; ``collect_panes`` then lists its elements.
+
+    All rows of a key in the same ``gap`` of time are in one session, so rows
+    find theirs by an equi-join on that bucket. A session is copied to the
+    buckets it spans, of which at least every second one has rows. Rows without
+    a time are in no session.
+    """
+    found = sessions(df, keys, ts_ms, gap, [], **split)
+    spanned = F.sequence(bucket(F.col(W_START), gap), bucket(F.col(W_END) - gap, gap))
+    spans = found.select(
+        *[F.col(k).alias(f"__session_{i}") for i, k in enumerate(keys)],
+        W_START, W_END, F.explode(spanned).alias("__session_bucket"),
+    )
+    rows = _timed(df, ts_ms).withColumn("__bucket", bucket(F.col(ts_ms), gap))
+    pairs = [(k, f"__session_{i}") for i, k in enumerate(keys)]
+    joined = rows.join(spans, same_key(rows, spans, [*pairs, ("__bucket", "__session_bucket")]))
+    return joined.select(*[rows[c] for c in df.columns], W_START, W_END)
+
+
 # -- on streams ----------------------------------------------------------------
 
 

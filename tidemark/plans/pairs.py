@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import interval_join as join_interval
 from tidemark.operators.joins import window_join as join_window
+from tidemark.operators.joins import window_pairs
 from tidemark.plans.inputs import DAY, HOUR, events, pane, with_events
 from tidemark.plans.registry import report
 
@@ -72,7 +73,7 @@ FROM ps p JOIN cs c ON p.store = c.store
     )
 )
 def window_join_store(spark, folder):
-    """Pairs per store and three days: heavy groups, joined in salted parts."""
+    """Pairs per store and three days: heavy groups, counted without making pairs."""
 
     def side(event_type, prefix):
         rows = events(spark, folder).filter(F.col("event_type") == event_type)
@@ -80,11 +81,7 @@ def window_join_store(spark, folder):
             "store", F.col("event_id").alias(f"{prefix}_id"), F.col("ms").alias(f"{prefix}_ms")
         )
 
-    pairs = join_window(
+    return window_pairs(
         side("purchase", "purchase"), side("click", "click"),
-        "store", "purchase_ms", "click_ms", 3 * DAY, ["purchase_id"], ["click_id"],
-    )
-    return pairs.groupBy("store", "w_start").agg(
-        F.count(F.lit(1)).alias("pairs"),
-        F.sum(F.abs(F.col("purchase_ms") - F.col("click_ms"))).alias("apart_ms"),
+        "store", "purchase_ms", "click_ms", 3 * DAY, "purchase_id", "click_id",
     )

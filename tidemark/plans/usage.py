@@ -130,6 +130,28 @@ def _event_usage(spark, folder) -> DataFrame:
     )
 
 
+@report(
+    with_events(
+        """SELECT event_id, event_type AS app_name, s * 1000 AS start_ms, (s + cents) * 1000 AS end_ms,
+  cents * 1000 AS duration_ms, CAST(s % 86400 AS INTEGER) AS start_second
+FROM (SELECT *, ms // 1000 AS s FROM e) t"""
+    )
+)
+def usage_typed(spark, folder):
+    """Events as raw text (day, time of day, duration), read back as typed records."""
+    at = F.timestamp_millis("ms")
+    cents = F.col("cents")
+    parts = [F.call_function("div", cents, F.lit(3600)), F.pmod(F.call_function("div", cents, F.lit(60)), F.lit(60)), F.pmod(cents, F.lit(60))]
+    raw = events(spark, folder).select(
+        "event_id",
+        F.col("event_type").alias("app_name"),
+        F.date_format(at, "dd/MM/yyyy").alias("date"),
+        F.date_format(at, "HH:mm:ss").alias("time"),
+        S.message("%d:%02d:%02d", *parts).alias("duration"),
+    )
+    return typed_usage(raw)
+
+
 _PANES = f"{pane('ms', 3 * DAY)} AS w_start, {pane('ms', 3 * DAY)} + {3 * DAY} AS w_end"
 
 

@@ -139,12 +139,10 @@ def sliding_nondivisible(spark, folder):
     )
 
 
-def _sessions_sql(keys: str, gap: int) -> str:
+def _session_ctes(keys: str, gap: int) -> tuple[str, str]:
+    """Events with the number of their session."""
     by = f"PARTITION BY {keys}" if keys else ""
-    pre = f"{keys}, " if keys else ""
-    return with_events(
-        f"""SELECT {pre}min(ms) AS w_start, max(ms) + {gap} AS w_end, count(*) AS n
-FROM s GROUP BY {pre}session""",
+    return (
         f"""f AS (SELECT *, CASE WHEN ms - lag(ms) OVER ({by} ORDER BY ms, event_id) <= {gap}
   THEN 0 ELSE 1 END AS starts FROM e)""",
         f"""s AS (SELECT *, sum(starts) OVER ({by} ORDER BY ms, event_id
@@ -152,6 +150,15 @@ FROM s GROUP BY {pre}session""",
     )
 
 
+def _sessions_sql(keys: str, gap: int) -> str:
+    pre = f"{keys}, " if keys else ""
+    return with_events(
+        f"""SELECT {pre}min(ms) AS w_start, max(ms) + {gap} AS w_end, count(*) AS n
+FROM s GROUP BY {pre}session""",
+        *_session_ctes(keys, gap),
+    )
+
+
 @report(_sessions_sql("user_id", 6 * HOUR))
 def session_count_user(spark, folder):
     return W.sessions(events(spark, folder), ["user_id"], "ms", 6 * HOUR)
@@ -165,6 +172,26 @@ def session_count_all(spark, folder):
     )
 
 
+@report(
+    with_events(
+        """SELECT user_id, w_start, w_end, part, count(*) AS n_items, max(r) AS n_upto,
+  string_agg(CAST(event_id AS VARCHAR), ', ' ORDER BY r) AS items
+FROM (SELECT *, (r - 1) // 10 AS part FROM n) t GROUP BY user_id, w_start, w_end, part""",
+        *_session_ctes("user_id", 6 * HOUR),
+        f"""n AS (SELECT *, min(ms) OVER (PARTITION BY user_id, session) AS w_start,
+    max(ms) OVER (PARTITION BY user_id, session) + {6 * HOUR} AS w_end,
+    row_number() OVER (PARTITION BY user_id, session ORDER BY ms, event_id) AS r FROM s)""",
+    )
+)
+def session_collect(spark, folder):
+    """The events of every session, listed in parts of ten."""
+    rows = events(spark, folder).select("event_id", "ms", "user_id")
+    panes = W.in_sessions(rows, ["user_id"], "ms", 6 * HOUR)
+    return W.collect_panes(
+        panes, ["user_id"], ORDER, F.col("event_id").cast("string"), part_size=10
+    )
+
+
 @report(
     with_events(
         f"""SELECT outer_start, outer_start + {DAY} AS outer_end, w_start, w_end, n
