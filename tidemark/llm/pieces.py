@@ -5,7 +5,8 @@ cross from one marked word (a run of markers and what follows it) into the
 next, so each distinct marked word is segmented once and its ids are put back
 at all its positions.
 
-1. Tasks count their marked words; the counts of all documents are summed.
+1. Tasks count their marked words, and the counts of all tasks are summed. A
+   task leaves out what it has met once, which a table would not make cheaper.
 2. Every distinct word that is frequent enough for a table of ``table_words``
    is segmented once, by the executors, and the table goes to all tasks.
 3. Tasks look the words of a text up and put their ids in a row, position by
@@ -148,7 +149,8 @@ def word_table(
     """The most frequent marked words of column ``text``, each segmented once.
 
     All texts are counted. Words are taken by powers of two of their count, from
-    the top, as long as all of a power fit; a word that occurs once is left out.
+    the top, as long as all of a power fit. Words that no task met twice are left
+    out: they are segmented where they occur.
     """
     import sentencepiece
 
@@ -166,7 +168,7 @@ def word_table(
         yield _counts(seen)
 
     words = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    words = cut_lineage(words.filter("n > 1").withColumn("power", F.length(F.bin("n"))))
+    words = cut_lineage(words.withColumn("power", F.length(F.bin("n"))))
     powers = words.groupBy("power").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("power")).collect()  # 64 at most
     least, held = 65, 0
     for r in powers:
@@ -193,8 +195,9 @@ def word_table(
 
 
 def _counts(seen: Counter) -> pa.RecordBatch:
+    again = {w: n for w, n in seen.items() if n > 1}
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
+        [pa.array(list(again), pa.string()), pa.array(list(again.values()), pa.int64())], ["word", "n"]
     )
 
 
