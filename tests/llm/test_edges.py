@@ -89,3 +89,24 @@ def test_urls_that_are_no_urls(spark):
         (4, "a.com", "", "com", "block"), (5, "y", "", None, "allow"), (6, "h", "/a", None, "block"), (6, "h", "/a", None, "block"),
     ]
     assert urls.judge(df.limit(0), listed.limit(0), []).count() == 0
+
+
+def test_near_copies_with_ids_that_repeat_or_are_null(spark):
+    import corpus_pipeline as pipeline
+
+    body = " ".join(f"word{i}" for i in range(300))
+    rows = [(5, body), (5, body.replace(" ", "  ", 1)), (7, body), (None, body + " "), (5, "another text with this id"),
+            (None, "a text without an id"), (None, None)]
+    df = docs(spark, [t for _, t in rows]).drop("doc_id", "text")
+    packed = spark.createDataFrame(
+        [(i, t, *["x"] * (len(df.columns))) for i, t in rows],
+        "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in df.columns),
+    )
+    found = pipeline.near_copies(spark, packed, "")
+    assert found.columns == packed.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+    same = {t for i, t in kept if t and t.startswith("word0")}
+    # Of four near copies one of the smallest id; what is no copy stays, whatever its id.
+    assert len(kept) == 4 and len(same) == 1
+    assert [i for i, t in kept if t in same] == [5]
+    assert sum(1 for i, _ in kept if i is None) == 2
