@@ -110,3 +110,45 @@ def test_near_copies_with_ids_that_repeat_or_are_null(spark):
     assert len(kept) == 4 and len(same) == 1
     assert [i for i, t in kept if t in same] == [5]
     assert sum(1 for i, _ in kept if i is None) == 2
+
+
+def test_near_copies_with_changed_words_against_brute_force(spark):
+    import random
+
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(11)
+    texts = []
+    for n in (8, 40, 120, 400):
+        for _ in range(6):
+            base = [f"w{rng.randrange(3000)}" for _ in range(n)]
+            texts.append(base)
+            for changes in (1, 1, 2, 3, 5, 8, 20):
+                copy = list(base)
+                for _ in range(min(changes, n // 8)):
+                    copy[rng.randrange(n)] = f"v{rng.randrange(3000)}"
+                texts.append(copy)
+    line = [f"line{i}" for i in range(12)]  # in half of the texts
+    texts = [" ".join(line + t if i % 2 else t) for i, t in enumerate(texts)]
+
+    def cut(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = [cut(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    due = {i for i in range(len(texts)) if top(i) == i}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in pipeline.near_copies(spark, df, "").collect()}
+    assert kept == due and 24 <= len(due) < len(texts)
