@@ -152,3 +152,13 @@ def test_near_copies_with_changed_words_against_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = {r["doc_id"] for r in pipeline.near_copies(spark, df, "").collect()}
     assert kept == due and 24 <= len(due) < len(texts)
+
+
+@pytest.mark.parametrize("copies", [6, 40])
+def test_nearest_row_that_occurs_many_times(spark, copies):
+    near = [(1, [1.0, 0.01])] * copies
+    rest = [(i, [1.0, 0.1 * i]) for i in range(2, 12)]
+    df = spark.createDataFrame([(0, [1.0, 0.0]), *near, *rest], "vec_id long, embedding array<float>")
+    found = neighbours.nearest(df, F.col("vec_id") == 0, k=5).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [1, 2, 3, 4, 5]
+    assert [r["rank"] for r in found] == [1, 2, 3, 4, 5]

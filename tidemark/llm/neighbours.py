@@ -178,8 +178,9 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query row.
 
-    Ids are integers; a row is no neighbour of a row with its own id, and rows
-    that repeat an id count once per copy of different vectors. Ties go to the
+    Ids are integers; a row is no neighbour of a row with its own id. Rows that
+    repeat an id give one neighbour per different score: copies of a row count
+    once, as do different vectors of an id that score alike. Ties go to the
     smaller id. Rows that cannot be compared take no part (see ``usable``); rows
     with a null id neither. An empty table gives an empty result.
     """
@@ -238,6 +239,28 @@ def nearest(
     )
 
 
+def _distinct_best(
+    score: np.ndarray, own: np.ndarray, bar: float, unit: np.ndarray, wanted: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates, their scores, and the places of the best ``k`` distinct (score, id).
+
+    The bar counts every row, so it is lowered until ``k`` distinct ones are
+    above it or all rows are.
+    """
+    take = k
+    while True:
+        at = np.flatnonzero((score >= bar) & ~own)
+        exact = (unit[at] * wanted).sum(axis=1)
+        order = np.lexsort((ids[at], -exact))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (exact[order][1:] != exact[order][:-1]) | (ids[at][order][1:] != ids[at][order][:-1])
+        best = order[fresh][:k]
+        if len(best) == k or take >= len(ids):
+            return at, exact, best
+        take = min(4 * take, len(ids))
+        bar = -np.partition(-score, take - 1)[take - 1] - 1e-12
+
+
 def _best_of_cell(k: int):
     def apply(asked: pa.Table, held: pa.Table) -> pa.Table:
         out = [[], [], []]
@@ -258,9 +281,7 @@ def _best_of_cell(k: int):
                 n = min(k, len(ids))
                 bar = -np.partition(-score, n - 1, axis=1)[:, n - 1] - 1e-12
                 for q in range(len(score)):
-                    at = np.flatnonzero((score[q] >= bar[q]) & ~own[q])
-                    exact = (unit[at] * wanted[i + q]).sum(axis=1)
-                    best = np.lexsort((ids[at], -exact))[:k]
+                    at, exact, best = _distinct_best(score[q], own[q], bar[q], unit, wanted[i + q], ids, k)
                     out[0] += [queries[i + q]] * len(best)
                     out[1] += ids[at[best]].tolist()
                     out[2] += exact[best].tolist()
