@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, language, mixing, pieces, similar
+from tidemark.llm import exact, language, mixing, pieces, simhash
 from tidemark.llm.common import scratch, word_count
 from tidemark.llm.queries import piece_model
 
@@ -19,7 +19,12 @@ LEAST_SHARE = 0.3
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters, and those that no language dominates."""
+    """Rejects texts without letters, and those that no language dominates.
+
+    Null and empty texts go. Rows that repeat stay or go together; ids play no
+    part. An empty table stays empty; other columns are passed on, whatever their
+    names.
+    """
     model = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     found = language.identify(rows, model, key="row")
@@ -28,23 +33,29 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal without white space, one stays."""
+    """Of texts that are equal without white space, one stays.
+
+    Of equal texts that is the longest, then the one with the smallest id (null
+    last); of rows that repeat, one. Null counts as empty. An empty table stays
+    empty; other columns are passed on, whatever their names.
+    """
     return exact.deduplicate(docs).kept
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar texts, the one with the smallest id stays.
+    """Of documents linked by their fingerprints, the one with the smallest id stays.
 
-    Similar are two texts with a Jaccard similarity of 0.8 or more of their sets
-    of five-word shingles; all such pairs count (see ``similar``).
+    Fingerprints are those of three-word shingles; two that differ in at most
+    three bits are linked (see ``simhash``).
 
     A document is its id and its text: of different texts with one id, and of
     those with a null id (which come last), one stays. Rows that repeat both id
-    and text stay or go together; the stage before leaves one of them.
+    and text stay or go together; the stage before leaves one of them. An empty
+    table stays empty; other columns are passed on, whatever their names.
     """
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), digest.alias("digest"))
-    found = similar.similar_components(docs.select(key.alias("key"), "text"), "key")
+    found = simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", words=3, radius=3)
     # Those that go are far fewer than those that stay, so the join rarely has to sort texts.
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id.id", "doc_id.digest").distinct()
     rows = docs.select(
@@ -55,16 +66,28 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, as rows of its own."""
+    """Each document as often as the mix takes it, as rows of its own.
+
+    Null texts and those without words are never taken. Rows that repeat are
+    taken alike, null ids and null sources as any other. An empty table stays
+    empty; other columns are passed on, whatever their names.
+    """
     plan = mixing.mix(docs)
-    sized = docs.withColumn("__size", word_count(F.col("text")))
-    counted = plan.repetitions(sized, "__size", "doc_id", "source").filter("repetitions > 0")
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        "doc_id", "source", word_count(F.col("text")).alias("size"),
+    )
+    counted = plan.repetitions(sized, "size", "doc_id", "source").filter("repetitions > 0")
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("repetitions")))
-    return counted.withColumn("__copy", copies).select(*docs.columns)
+    return counted.select("row", copies.alias("copy")).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, checked by decoding them."""
+    """Ids of every document, checked by decoding them.
+
+    Null texts count as empty and have the end id only. There is a row for every
+    row; other columns take no part.
+    """
     found = pieces.encode_decode(docs, piece_model())
     return found.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
