@@ -234,3 +234,16 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = read(spark, folder, "documents")
     return score(docs, fit(docs))
+
+
+@query()
+def op11_align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.alignment import measure, read_pair
+
+    pair = read_pair(spark, public_tokenizers.path("byte_bpe_50k.json"), piece_model())
+    found, _ = measure(read(spark, folder, "documents"), pair)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
