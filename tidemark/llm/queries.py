@@ -247,3 +247,17 @@ def op11_align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+LICENSE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+
+
+@query()
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.licenses import scan
+
+    found = scan(read(spark, folder, "documents"), phrases=LICENSE_PHRASES)
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
