@@ -261,3 +261,13 @@ def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
     )
+
+
+@query()
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.prefixes import trie, turns, with_starts
+
+    found = trie(with_starts(turns(read(spark, folder, "conversations"))))
+    return found.nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
