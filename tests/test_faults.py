@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.user import Accumulator, accumulate
 from tidemark.operators import joins, rolling, stateful, windows
 from tidemark.operators.chunks import Fold
-from tidemark.sources.readers import known_values
 
 
 @pytest.fixture(params=["true", "false"])
@@ -72,13 +71,6 @@ def test_buckets_of_large_numbers(spark):
     assert df.select(windows.bucket(F.col("t"), 7)).first()[0] == 1700000000000000123 // 7
 
 
-def test_a_null_button_is_no_value(spark):
-    df = spark.createDataFrame([("b",), (None,), ("a",)], "button string")
-    assert known_values(df, "button") == ["a", "b"]
-    with pytest.raises(ValueError):
-        known_values(df, "button", limit=1)
-
-
 def test_cells_keep_their_budget_of_pairs(spark):
     n = 3_000
     left = spark.range(n).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("l"))

@@ -74,10 +74,10 @@ def test_rolling_concat(spark):
         assert sorted(got(out, "lang", "reduced")) == expected
 
 
-def test_rolling_map_known_and_unknown(spark):
+def test_rolling_map(spark):
     df = make(spark, "k string, b string", [("u", "x"), ("u", "a"), ("u", "x"), ("v", "x")])
-    for sub_keys in (["x", "a"], None):
-        out = rolling.rolling_map_count(df, ["k"], ["arrival"], "b", sub_keys)
+    for rows_per_chunk in (1_000, 1):
+        out = rolling.rolling_map_count(df, ["k"], ["arrival"], "b", rows_per_chunk=rows_per_chunk)
         out = out.select("arrival", rolling.format_map(F.col("counts")).alias("t"))
         assert sorted(got(out, "arrival", "t")) == [(0, "x=1"), (1, "a=1, x=1"), (2, "a=1, x=2"), (3, "x=1")]
 

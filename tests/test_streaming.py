@@ -152,6 +152,20 @@ def test_state_machine_twins(static, stream):
     )
 
 
+def test_first_apps_by_event_time_twin(static, spark, tmp_path):
+    df, _ = static
+    delay = F.pmod(F.col("event_id") * 7919, F.lit(13)) * 300_000
+    arriving = df.withColumn("arrival", F.col("ms") + delay)
+    write_as_files(arriving, tmp_path / "arriving", order="arrival")
+    source = readers.table_stream(spark, str(tmp_path / "arriving"), arriving.schema)
+    order, types = ["arrival", "event_id"], ["purchase", "error"]
+    fired = triggers.over_threshold(arriving, "store", "user_id", order, F.col("event_type"), *types, 2, 1)
+    batch = triggers.first_apps_so_far(fired, arriving, "store", "user_id", order, "event_type", types, event_time=["ms"])
+    found = drain(P.app_store(source, "store", "user_id", order, "event_type", types, ["ms"], 3, 2, 1), "update")
+    columns = ["event_id", "installs_before", "uninstalls_before", "first_purchase", "first_error"]
+    assert batch.count() > 20 and same(found, batch, *columns)
+
+
 def test_trigger_twins(static, stream, spark, tmp_path):
     df, _ = static
     args = ("store", "user_id", ORDER)

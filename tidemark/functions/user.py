@@ -13,9 +13,13 @@ from typing import Any
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from tidemark.operators.walk import groups, to_batch, walk
 
 
 def where(df: DataFrame, predicate: Column | str) -> DataFrame:
@@ -75,25 +79,35 @@ class Accumulator:
 _KEYS_IN_MEMORY = 100_000
 
 
+# Tasks whose partial results of a key are merged by one step of the first level.
+_FAN_IN = 1024
+
+
 def accumulate(
     df: DataFrame, keys: Sequence[str], inputs: Sequence[str], aggregate: Accumulator,
     kind: str, name: str = "result",
 ) -> DataFrame:
-    """Aggregate per key: first within each task, then over its partial results.
+    """Aggregate per key: first within each task, then over partial results, in two levels.
 
-    A heavy key reaches the second step as about one small row per task, not
-    with its rows. ``keys`` are key columns or pane bounds.
+    ``keys`` are key columns or pane bounds; null is a key like any other. Without
+    keys the whole table is one group, and an empty table has none. A heavy key's
+    partial results, one per task, are merged by groups of tasks first, and only
+    one of each of these meets the others. Merging walks sorted rows, so a step
+    holds two accumulators, however many there are.
     """
     rows = df.select(*keys, *inputs)
     key_fields = [rows.schema[k] for k in keys]
-    partial_schema = T.StructType([*key_fields, T.StructField("__partial", T.BinaryType())])
+    partial = T.StructType([
+        *key_fields, T.StructField("__tasks", T.IntegerType()), T.StructField("__partial", T.BinaryType())
+    ])
     key_list = list(keys)
 
     # Keys stay in Arrow: as pandas numbers, large ones next to a null lose digits.
     def flush(held: dict, kinds: list) -> pa.RecordBatch:
         columns = [pa.array(c, k) for c, k in zip(zip(*held), kinds)]
+        tasks = pa.array([TaskContext.get().partitionId() // _FAN_IN] * len(held), pa.int32())
         partials = pa.array([pickle.dumps(a) for a in held.values()], pa.binary())
-        return pa.RecordBatch.from_arrays([*columns, partials], [*key_list, "__partial"])
+        return pa.RecordBatch.from_arrays([*columns, tasks, partials], [*key_list, "__tasks", "__partial"])
 
     def within_task(batches):
         held: dict = {}
@@ -101,7 +115,7 @@ def accumulate(
         for batch in batches:
             kinds = [batch.schema.field(k).type for k in key_list]
             places: dict[tuple, list[int]] = {}
-            for i, key in enumerate(zip(*[batch.column(k).to_pylist() for k in key_list])):
+            for i, key in enumerate(groups(batch, key_list)):
                 places.setdefault(key, []).append(i)
             for key, at in places.items():
                 started = held[key] if key in held else aggregate.create()
@@ -112,14 +126,32 @@ def accumulate(
         if held:
             yield flush(held, kinds)
 
-    def across_tasks(key: tuple, table: pa.Table) -> pa.Table:
-        total = None
-        for partial in table.column("__partial").to_pylist():
-            accumulator = pickle.loads(partial)
-            total = accumulator if total is None else aggregate.merge(total, accumulator)
-        keys_of = {k: table.column(k).slice(0, 1) for k in key_list}
-        return pa.table({**keys_of, name: pa.array([aggregate.result(total)])})
+    def merged(by: list[str], finish: Callable[[Any], Any], last: str, of: pa.DataType):
+        def step(batches):
+            group, total, kinds = None, None, []
+            for batch in batches:
+                kinds = [batch.schema.field(k).type for k in by]
+                done = []
+                for g, found in zip(groups(batch, by), batch.column("__partial").to_pylist()):
+                    accumulator = pickle.loads(found)
+                    if g == group:
+                        total = aggregate.merge(total, accumulator)
+                    else:
+                        if group is not None:
+                            done.append((*group, finish(total)))
+                        group, total = g, accumulator
+                yield to_batch(done, schema_of(kinds))
+            if group is not None:
+                yield to_batch([(*group, finish(total))], schema_of(kinds))
+
+        def schema_of(kinds):
+            return pa.schema([*zip(by, kinds), (last, of)])
+
+        return step
 
     result = T.StructType([*key_fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields])
-    partials = rows.mapInArrow(within_task, partial_schema)
-    return partials.groupBy(*keys).applyInArrow(across_tasks, result)
+    by_tasks = [*key_list, "__tasks"]
+    partials = rows.mapInArrow(within_task, partial)
+    few = walk(partials, by_tasks, [], merged(by_tasks, pickle.dumps, "__partial", pa.binary()), partial)
+    finish = merged(key_list, aggregate.result, name, to_arrow_type(result[name].dataType))
+    return walk(few, key_list, [], finish, result)

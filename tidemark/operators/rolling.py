@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from tidemark.operators.chunks import (
     ROWS_PER_CHUNK,
     Fold,
     narrow,
+    position,
     running,
     same_key,
     tag_chunks,
@@ -174,40 +175,154 @@ def _befores(by: Sequence[str], combine: Callable):
 
 def rolling_map_count(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], sub_key: str,
-    sub_keys: Sequence[str] | None = None, name: str = "counts", **split,
+    name: str = "counts", rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
 ) -> DataFrame:
     """Count per sub-key so far, all of them on every row, in sub-key order.
 
-    With a known list of ``sub_keys`` this is one running count each; otherwise
-    the map is built from the values so far.
+    A null sub-key is not counted. Each chunk is one walk with a dictionary. The
+    walk of a later chunk of a heavy key begins with a row of its own, the counts
+    of all chunks before it, which is no larger than an output row.
     """
-    if sub_keys is None:
-        listed = running(df, keys, order, [Fold("__seen", "list", F.col(sub_key))], **split)
-        distinct = F.array_sort(F.array_distinct("__seen"))
-        counted = F.transform(
-            distinct,
-            lambda s: F.struct(
-                s.alias("key"),
-                F.size(F.filter("__seen", lambda x: x == s)).cast("bigint").alias("value"),
-            ),
-        )
-        return listed.withColumn(name, F.map_from_entries(counted)).drop("__seen")
+    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
+    columns = df.columns
+    counts = T.MapType(df.schema[sub_key].dataType, T.LongType())
+    schema = T.StructType([*df.schema.fields, T.StructField(name, counts)])
+    if not split:
+        rows = tagged.select(*columns, F.lit(None).cast(counts).alias("__before"), F.lit(False).alias("__carry"))
+        return walk(rows, keys, order, _counting(keys, sub_key, columns, name), schema)
 
-    ordered = sorted(sub_keys)
-    folds = [
-        Fold(f"__n_{i}", "count", F.when(F.col(sub_key) == s, 1))
-        for i, s in enumerate(ordered)
-    ]
-    counted = running(df, keys, order, folds, **split)
-    entries = F.array(
-        *[
-            F.struct(F.lit(s).alias("key"), F.col(f"__n_{i}").alias("value"))
-            for i, s in enumerate(ordered)
-        ]
+    by = [*keys, CHUNK]
+    heavy = tagged.filter(F.col(LAST_CHUNK) > 0).filter(F.col(sub_key).isNotNull())
+    each = heavy.groupBy(*by, F.col(sub_key).alias("__sub")).agg(F.count(F.lit(1)).alias("__n"))
+    entries = F.collect_list(F.struct(F.col("__sub").alias("key"), F.col("__n").alias("value")))
+    totals = each.groupBy(*by).agg(F.map_from_entries(entries).alias("__total"))
+    # A chunk without counted rows has a total as well: it needs what came before it.
+    chunks = tagged.filter(F.col(LAST_CHUNK) > 0).select(*by).distinct()
+    totals = chunks.join(totals, same_key(chunks, totals, [(c, c) for c in by]), "left").select(
+        *[chunks[c] for c in by], "__total"
+    )
+    carried = T.StructType([*[totals.schema[c] for c in by], T.StructField("__before", counts)])
+    before = walk(totals, keys, [CHUNK], _counts_before(keys), carried)
+    carry = before.select(
+        *[F.col(c) if c in by else F.lit(None).cast(tagged.schema[c].dataType).alias(c) for c in [*columns, CHUNK]],
+        "__before", F.lit(True).alias("__carry"),
+    )
+    rows = tagged.select(*columns, CHUNK, F.lit(None).cast(counts).alias("__before"), F.lit(False).alias("__carry"))
+    both = rows.unionByName(carry).withColumn("__then", ~F.col("__carry"))
+    return walk(both, by, ["__then", *order], _counting(by, sub_key, columns, name), schema)
+
+
+def _counting(by: Sequence[str], sub_key: str, columns: Sequence[str], name: str):
+    """Every row with the sorted counts of its group so far; rows that carry counts set them."""
+
+    def step(batches):
+        group, seen = None, {}
+        for batch in batches:
+            kind = pa.map_(batch.schema.field(sub_key).type, pa.int64())
+            kept, maps = [], []
+            rows = zip(
+                groups(batch, by), batch.column(sub_key).to_pylist(),
+                batch.column("__carry").to_pylist(), batch.column("__before").to_pylist(),
+            )
+            for i, (g, sub, carries, before) in enumerate(rows):
+                if g != group:
+                    group, seen = g, {}
+                if carries:
+                    seen = dict(before)
+                    continue
+                if sub is not None:
+                    seen[sub] = seen.get(sub, 0) + 1
+                kept.append(i)
+                maps.append(sorted(seen.items()))
+            own = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*[own.column(c) for c in columns], pa.array(maps, kind)], names=[*columns, name]
+            )
+
+    return step
+
+
+def _counts_before(by: Sequence[str]):
+    """Every chunk with the counts of the chunks before it."""
+
+    def step(batches):
+        group, seen = None, {}
+        for batch in batches:
+            before = []
+            for g, total in zip(groups(batch, by), batch.column("__total").to_pylist()):
+                if g != group:
+                    group, seen = g, {}
+                before.append(list(seen.items()))
+                for sub, n in total or ():
+                    seen[sub] = seen.get(sub, 0) + n
+            kind = batch.schema.field("__total").type
+            columns = [batch.column(c) for c in [*by, CHUNK]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(before, kind)], names=[*by, CHUNK, "__before"])
+
+    return step
+
+
+def rolling_firsts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], entries: dict[str, Column], n: int,
+    rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
+) -> DataFrame:
+    """The ``n`` smallest entries of the key so far, as a sorted array per name.
+
+    ``entries`` are comparable values, null where a row has none. Rows come in
+    ``order``, which may be another one than that of the entries. The k-th
+    smallest is a running minimum, and what it pushes out goes on to the next:
+    ``n`` folds over one sort. Of a chunk of a heavy key only its last array is
+    handed on.
+    """
+    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
+    by = [*keys, *([CHUNK] if split else [])]
+    columns = df.columns
+    local = _firsts(tagged, by, order, entries, n)
+    if not split:
+        return local.select(*columns, *entries)
+
+    # One row per chunk of a heavy key, then a row per entry, in the order of chunks.
+    totals = local.filter(F.col(LAST_CHUNK) > 0).groupBy(*by).agg(
+        *[F.max_by(name, position(order)).alias(name) for name in entries]
+    )
+    laid = totals.withColumn("__place", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    again = {name: F.get(name, F.col("__place")) for name in entries}
+    so_far = _firsts(
+        laid.select(*by, "__place", *[x.alias(f"__entry_{i}") for i, x in enumerate(again.values())]),
+        keys, [CHUNK, "__place"], {name: F.col(f"__entry_{i}") for i, name in enumerate(entries)}, n,
+    ).filter(F.col("__place") == n - 1)
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK)
+    carry = so_far.select(
+        *[F.col(k).alias(f"__carry_{i}") for i, k in enumerate(keys)],
+        F.col(CHUNK).alias("__carry_chunk"),
+        *[F.lag(name).over(earlier).alias(f"__{name}") for name in entries],
     )
-    return counted.withColumn(
-        name, F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0))
-    ).drop(*[f.name for f in folds])
+    carry = narrow(carry, split, wide=True)
+    pairs = [*[(k, f"__carry_{i}") for i, k in enumerate(keys)], (CHUNK, "__carry_chunk")]
+    joined = local.join(carry, same_key(local, carry, pairs), "left")
+    merged = [
+        F.when(carry[f"__{name}"].isNull(), local[name])
+        .otherwise(F.slice(F.array_sort(F.concat(carry[f"__{name}"], local[name])), 1, n)).alias(name)
+        for name in entries
+    ]
+    return joined.select(*[local[c] for c in columns], *merged)
+
+
+def _firsts(df: DataFrame, by: Sequence[str], order: Sequence[str], entries: dict[str, Column], n: int) -> DataFrame:
+    ordered = Window.partitionBy(*by).orderBy(*order)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    found = df.withColumns({f"__in_{i}": x for i, x in enumerate(entries.values())})
+    every = range(len(entries))
+    for k in range(n):
+        found = found.withColumns({f"__old_{i}": F.min(f"__in_{i}").over(before) for i in every})
+        found = found.withColumns({f"__kept_{i}_{k}": F.least(f"__old_{i}", f"__in_{i}") for i in every})
+        # What does not stay goes on; nothing does while there is room, or if nothing came.
+        room = [F.col(f"__old_{i}").isNull() | F.col(f"__in_{i}").isNull() for i in every]
+        found = found.withColumns(
+            {f"__in_{i}": F.when(~room[i], F.greatest(f"__old_{i}", f"__in_{i}")) for i in every}
+        )
+    arrays = [F.array_compact(F.array(*[f"__kept_{i}_{k}" for k in range(n)])) for i in every]
+    return found.select(*df.columns, *[a.alias(name) for a, name in zip(arrays, entries)])
 
 
 def format_map(counts: Column) -> Column:

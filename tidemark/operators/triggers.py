@@ -11,7 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.chunks import Fold, running
+from tidemark.operators.chunks import (
+    CHUNK,
+    LAST_CHUNK,
+    ROWS_PER_CHUNK,
+    Fold,
+    running,
+    same_key,
+    tag_chunks,
+)
+from tidemark.operators.rolling import rolling_firsts
 from tidemark.operators.windows import W_END, W_START, count_fold
 
 
@@ -75,12 +84,18 @@ def over_threshold(
 def first_apps_so_far(
     fired: DataFrame, df: DataFrame, store: str, app: str, order: Sequence[str],
     event_type: str, types: Sequence[str], n: int = 3,
+    event_time: Sequence[str] | None = None, **split,
 ) -> DataFrame:
     """For each firing: the first ``n`` apps per event type the store had by then.
 
-    Arrival order is taken as event-time order. At most ``n`` rows per store
-    and type are kept and joined; those that come after the firing are left out.
+    ``order`` is the order of arrival. The first are those first by
+    ``event_time``, ties by arrival, among all that have arrived; without it,
+    arrival order is taken as event-time order. Then at most ``n`` rows per store
+    and type are joined, and those after the firing left out. Otherwise firings
+    are rows of the store's sequence, and see what the rows before them left.
     """
+    if event_time is not None:
+        return _first_by_time(fired, df, store, app, order, event_type, types, n, event_time, **split)
     firsts = df.filter(F.col(event_type).isin(*types)).withColumn(
         "__entry", F.struct(F.struct(*order).alias("at"), F.col(app).alias("app"))
     )
@@ -111,6 +126,33 @@ def first_apps_so_far(
     )
 
 
+def _first_by_time(
+    fired: DataFrame, df: DataFrame, store: str, app: str, order: Sequence[str],
+    event_type: str, types: Sequence[str], n: int, event_time: Sequence[str], **split,
+) -> DataFrame:
+    at = [F.col(c).alias(f"__at_{i}") for i, c in enumerate(order)]
+    places = [f"__at_{i}" for i in range(len(order))]
+    firing = fired.select(
+        F.col(store).alias("__store"), *at, F.lit(1).alias("__fires"), F.struct(*fired.columns).alias("__row")
+    )
+    row = firing.schema["__row"].dataType
+    entry = F.struct(
+        *[F.col(c).alias(f"t{i}") for i, c in enumerate([*event_time, *order])], F.col(app).alias("app")
+    )
+    seen = df.filter(F.col(event_type).isin(*types)).select(
+        F.col(store).alias("__store"), *at, F.lit(0).alias("__fires"), F.lit(None).cast(row).alias("__row"),
+        *[F.when(F.col(event_type) == t, entry).alias(f"__entry_{i}") for i, t in enumerate(types)],
+    )
+    # The firing row has arrived as well, so it comes after its own entry.
+    both = seen.unionByName(firing, allowMissingColumns=True)
+    entries = {f"__first_{i}": F.col(f"__entry_{i}") for i in range(len(types))}
+    found = rolling_firsts(both, ["__store"], [*places, "__fires"], entries, n, **{"costly": True, **split})
+    return found.filter("__fires = 1").select(
+        "__row.*",
+        *[F.array_join(F.col(f"__first_{i}.app"), ", ").alias(f"first_{t}") for i, t in enumerate(types)],
+    )
+
+
 def _first_entries(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
@@ -150,3 +192,47 @@ def last_n_count(
     counted = running(df, keys, order, [count_fold(name)], **split)
     return counted.withColumn(name, F.least(F.col(name), F.lit(n + 1)))
 
+
+def last_n(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
+    aggregates: dict[str, Column], rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
+) -> DataFrame:
+    """Aggregates over what an always-firing pane sees that keeps ``n`` after each firing.
+
+    Those are the row and the ``n`` before it; ``aggregates`` are any aggregate
+    expressions, lists included. ``order`` must be unique within a key. The last
+    ``n`` rows of a chunk of a heavy key are copied to the next chunk (and on, as
+    far as short chunks need them), where they are seen but do not fire.
+    """
+    tagged, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
+    columns = df.columns
+    by = [*keys, *([CHUNK] if split else [])]
+    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(-n, Window.currentRow)
+    results = [x.over(frame).alias(name) for name, x in aggregates.items()]
+    if not split:
+        return tagged.select(*columns, *results)
+
+    heavy = tagged.filter(F.col(LAST_CHUNK) > 0)
+    in_order = Window.partitionBy(*keys).orderBy(CHUNK)
+    following = in_order.rowsBetween(1, n)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    # One row per chunk: the rows before it, and the same of the chunks it may reach into.
+    starts = heavy.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__size")).withColumn(
+        "__start", F.coalesce(F.sum("__size").over(earlier), F.lit(0))
+    ).select(
+        *[F.col(k).alias(f"__of_{i}") for i, k in enumerate(keys)], F.col(CHUNK).alias("__of_chunk"),
+        "__size", "__start",
+        F.collect_list(F.struct(F.col(CHUNK).alias("chunk"), F.col("__start").alias("start"))).over(following).alias("__next"),
+    )
+    from_end = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*[F.desc(c) for c in order]))
+    # The rank limit holds on the map side as well.
+    tails = heavy.withColumn("__from_end", from_end).filter(F.col("__from_end") <= n)
+    pairs = [*[(k, f"__of_{i}") for i, k in enumerate(keys)], (CHUNK, "__of_chunk")]
+    tails = tails.join(starts, same_key(tails, starts, pairs))
+    place = F.col("__start") + F.col("__size") - F.col("__from_end") + 1
+    reached = F.explode(F.filter("__next", lambda x: x["start"] < place + n))
+    halo = tails.select(*columns, reached.alias("__to")).select(
+        *columns, F.col("__to.chunk").alias(CHUNK), F.lit(True).alias("__seen")
+    )
+    both = tagged.select(*columns, CHUNK, F.lit(False).alias("__seen")).unionByName(halo)
+    return both.select(*columns, "__seen", *results).filter(~F.col("__seen")).drop("__seen")

@@ -19,7 +19,9 @@ Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 def walk(df: DataFrame, by: Sequence[str], order: Sequence[str], step: Step, schema: T.StructType) -> DataFrame:
     """Apply ``step`` to the batches of partitions sorted by group and order."""
     placed = df.repartition(*by) if by else df.repartition(1)
-    return placed.sortWithinPartitions(*by, *order).mapInArrow(step, schema)
+    if by or order:
+        placed = placed.sortWithinPartitions(*by, *order)
+    return placed.mapInArrow(step, schema)
 
 
 def groups(batch: pa.RecordBatch, by: Sequence[str]) -> Iterable[tuple]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import triggers as G
-from tidemark.plans.inputs import ORDER, events, with_events
+from tidemark.plans.inputs import MINUTE, ORDER, events, with_events
 from tidemark.plans.registry import report
 
 INSTALL, UNINSTALL = "purchase", "error"
@@ -84,3 +84,38 @@ def app_store_report(spark, folder):
     return G.first_apps_so_far(
         fired, rows, "store", "user_id", ORDER, "event_type", [INSTALL, UNINSTALL]
     ).select("event_id", "store", "user_id", f"first_{INSTALL}", f"first_{UNINSTALL}")
+
+
+_ARRIVED = f"""a AS (SELECT *, ms + ((event_id * 7919) % 13) * {5 * MINUTE} AS arrival FROM e)"""
+_BEFORE_ARRIVAL = _BEFORE.replace("ORDER BY ms", "ORDER BY arrival")
+_FIRED_ON_ARRIVAL = _FIRED.replace(_BEFORE, _BEFORE_ARRIVAL).replace("FROM e)", "FROM a)")
+
+
+def _first_arrived_sql(event_type: str) -> str:
+    return f"""coalesce((SELECT string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY k) FROM t
+    WHERE t.event_id = f.event_id AND t.event_type = '{event_type}'), '')"""
+
+
+@report(
+    with_events(
+        f"""SELECT event_id, store, user_id,
+  {_first_arrived_sql(INSTALL)} AS first_{INSTALL}, {_first_arrived_sql(UNINSTALL)} AS first_{UNINSTALL} FROM f""",
+        _ARRIVED,
+        _FIRED_ON_ARRIVAL,
+        f"""t AS (SELECT * FROM (SELECT f.event_id, a.event_type, a.user_id, row_number() OVER (
+    PARTITION BY f.event_id, a.event_type ORDER BY a.ms, a.arrival, a.event_id) AS k
+  FROM f JOIN a ON a.store = f.store AND a.event_type IN ('{INSTALL}', '{UNINSTALL}')
+    AND (a.arrival < f.arrival OR (a.arrival = f.arrival AND a.event_id <= f.event_id))) x WHERE k <= 3)""",
+    )
+)
+def app_store_out_of_order(spark, folder):
+    """As events arrive in a shuffled order: the first three by event time so far."""
+    delay = F.pmod(F.col("event_id") * 7919, F.lit(13)) * (5 * MINUTE)
+    rows = _rows(spark, folder).withColumn("arrival", F.col("ms") + delay)
+    arrival = ["arrival", "event_id"]
+    fired = G.over_threshold(
+        rows, "store", "user_id", arrival, F.col("event_type"), INSTALL, UNINSTALL, INSTALLS, UNINSTALLS,
+    ).select("event_id", "arrival", "store", "user_id")
+    return G.first_apps_so_far(
+        fired, rows, "store", "user_id", arrival, "event_type", [INSTALL, UNINSTALL], event_time=["ms"]
+    ).select("event_id", "store", "user_id", f"first_{INSTALL}", f"first_{UNINSTALL}")

@@ -8,7 +8,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import rolling as R
 from tidemark.plans.inputs import ORDER, events, with_events
 from tidemark.plans.registry import report
-from tidemark.sources.readers import known_values, spread, table
+from tidemark.sources.readers import spread, table
 
 _SO_FAR = "ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING"
 
@@ -145,8 +145,7 @@ FROM c JOIN t ON c.counts[t.i] > 0 GROUP BY c.event_id, c.user_id""",
 def rolling_map(spark, folder):
     """All button counts of the user so far, on every click."""
     rows = events(spark, folder).select("event_id", "ms", "user_id", "event_type")
-    buttons = known_values(rows, "event_type")
-    return R.rolling_map_count(rows, ["user_id"], ORDER, "event_type", buttons).select(
+    return R.rolling_map_count(rows, ["user_id"], ORDER, "event_type").select(
         "event_id", "user_id", R.format_map(F.col("counts")).alias("counts")
     )
 

@@ -55,6 +55,23 @@ def evict_last_50(spark, folder):
     return G.last_n_count(rows, ["store"], ORDER, 50).select("event_id", "store", "retained")
 
 
+@report(
+    with_events(
+        """SELECT event_id, store, CAST(sum(cents) OVER w AS BIGINT) AS sum_cents, min(cents) OVER w AS least_cents,
+  string_agg(CAST(user_id AS VARCHAR), ',') OVER w AS users
+FROM e WINDOW w AS (PARTITION BY store ORDER BY ms, event_id ROWS 50 PRECEDING)"""
+    )
+)
+def evict_last_50_values(spark, folder):
+    """Sum, minimum and list of the elements that an evictor left."""
+    rows = events(spark, folder).select("event_id", "ms", "store", "user_id", "cents")
+    seen = {"sum_cents": F.sum("cents"), "least_cents": F.min("cents"), "users": F.collect_list("user_id")}
+    return G.last_n(rows, ["store"], ORDER, 50, seen).select(
+        "event_id", "store", "sum_cents", "least_cents",
+        F.array_join(F.col("users").cast("array<string>"), ",").alias("users"),
+    )
+
+
 @report(
     with_events(
         f"""SELECT store, event_type, w_start, w_start + {DAY} AS w_end,

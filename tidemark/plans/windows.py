@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import fahrenheit_to_celsius
+from tidemark.functions.user import Accumulator, accumulate
 from tidemark.operators import windows as W
 from tidemark.operators.chunks import Fold
 from tidemark.operators.eventtime import side_output, split_late, with_lateness
@@ -263,3 +264,35 @@ def late_split_counts(spark, folder):
         F.count(F.when(~F.col("is_late"), 1)).alias("on_time"),
         F.count(F.when(F.col("is_late"), 1)).alias("late"),
     )
+
+
+class MeanValue(Accumulator):
+    """Sum and number, merged and divided at the end."""
+
+    def create(self):
+        return 0, 0
+
+    def add(self, accumulator, rows):
+        return accumulator[0] + int(rows["cents"].sum()), accumulator[1] + len(rows)
+
+    def merge(self, a, b):
+        return a[0] + b[0], a[1] + b[1]
+
+    def result(self, accumulator):
+        return accumulator[0] / accumulator[1]
+
+
+@report(
+    with_events(
+        f"""SELECT sensor, w_start, w_start + {HOUR} AS w_end,
+  CAST(sum(cents) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_cents
+FROM (SELECT CASE WHEN store > 0 THEN store END AS sensor, {pane('ms', HOUR)} AS w_start, cents
+  FROM e WHERE cents IS NOT NULL) x GROUP BY sensor, w_start"""
+    )
+)
+def tumbling_accumulated(spark, folder):
+    """Mean per sensor and hour by an accumulator of the user; one sensor has no name."""
+    rows = events(spark, folder).filter("cents is not null")
+    named = rows.select("ms", "cents", F.when(F.col("store") > 0, F.col("store")).alias("sensor"))
+    panes = W.tumbling(named, "ms", HOUR)
+    return accumulate(panes, ["sensor", W.W_START, W.W_END], ["cents"], MeanValue(), "double", "mean_cents")

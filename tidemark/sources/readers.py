@@ -163,15 +163,6 @@ def generated_stream(
     return generated_users(source, id_column="value", **options)
 
 
-
-def known_values(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """The sorted distinct values of a column but null; more than ``limit`` are an error."""
-    found = df.select(column).dropna().distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return sorted(row[0] for row in found)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Enough partitions for costly work on each row of a small table.
 

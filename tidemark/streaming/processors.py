@@ -203,6 +203,52 @@ class Thresholds(ValuePerRecord):
         return after, [(*row, i, u)] if fires else []
 
 
+class AppStore(PerRecord):
+    """A store's apps over a threshold, each firing with the first apps by event time.
+
+    State is a count of installs and uninstalls per app, of which only the apps
+    of the new rows are read, and the first ``n`` entries of either type.
+    """
+
+    def __init__(self, order, app: str, app_kind: str, event_type: str, types: Sequence[str],
+                 event_time: Sequence[str], n: int, installs: int, uninstalls: int):
+        super().__init__(order)
+        self.app, self.app_kind, self.event_type, self.types = app, app_kind, event_type, list(types)
+        self.event_time, self.n, self.limits = list(event_time), n, (installs, uninstalls)
+
+    def init(self, handle) -> None:
+        self.counts = handle.getMapState("counts", f"app {self.app_kind}", "installs bigint, uninstalls bigint")
+        entry = f"struct<at: array<bigint>, app: {self.app_kind}>"
+        self.firsts = handle.getValueState("firsts", ", ".join(f"first_{i} array<{entry}>" for i in (0, 1)))
+
+    def load(self):
+        found = self.firsts.get() if self.firsts.exists() else ([], [])
+        return {}, [[(list(at), app) for at, app in entries] for entries in found]
+
+    def step(self, state, row):
+        seen, firsts = state
+        app, kind = row[self.app], row[self.event_type]
+        if app not in seen:
+            known = self.counts.containsKey((app,))
+            seen[app] = tuple(self.counts.getValue((app,))) if known else (0, 0)
+        before = seen[app]
+        seen[app] = tuple(c + (kind == t) for c, t in zip(before, self.types))
+        if kind in self.types:
+            entries = firsts[self.types.index(kind)]
+            entries.append(([row[c] for c in [*self.event_time, *self.order]], app))
+            entries.sort(key=lambda e: e[0])
+            del entries[self.n :]
+        if not any(c >= most for c, most in zip(before, self.limits)):
+            return state, []
+        return state, [(*row, *before, *[", ".join(str(a) for _, a in entries) for entries in firsts])]
+
+    def save(self, state) -> None:
+        seen, firsts = state
+        for app, counts in seen.items():
+            self.counts.updateValue((app,), counts)
+        self.firsts.update(tuple(firsts))
+
+
 class PaneCount(ValuePerRecord):
     """Fires on every n-th element of a pane, and forgets the pane at its end."""
 
@@ -339,6 +385,23 @@ def over_threshold(
     return _apply(df, [store, app], processor, schema)
 
 
+def app_store(
+    df, store, app, order, event_type, types, event_time, n=3, installs=100, uninstalls=50,
+) -> DataFrame:
+    """Firings of ``over_threshold``, with the first ``n`` apps by event time that have arrived.
+
+    ``types`` are the install and the uninstall type; ``order`` and ``event_time``
+    are numbers.
+    """
+    kind = df.schema[app].dataType.simpleString()
+    processor = AppStore(order, app, kind, event_type, types, event_time, n, installs, uninstalls)
+    schema = _plus(
+        df, ("installs_before", "bigint"), ("uninstalls_before", "bigint"),
+        *[(f"first_{t}", "string") for t in types],
+    )
+    return _apply(df, [store], processor, schema)
+
+
 def every_nth(df, keys, order, n, pane_start="w_start", pane_end="w_end") -> DataFrame:
     """``df`` has pane bounds in milliseconds and a watermark on its event time."""
     return _apply(
