@@ -191,6 +191,25 @@ def test_anchored_merge(spark, small_chunks, step):
         assert any(r[1] == 0 for r in expected.values()) or expected
 
 
+def test_an_anchor_through_a_thousand_chunks(spark, tiny_chunks, monkeypatch):
+    """Every record is a chunk; the anchor is extended by every third, others stand in between."""
+    rounds = []
+    monkeypatch.setattr(stateful, "cut_lineage", lambda df, cut=stateful.cut_lineage: rounds.append(1) or cut(df))
+    rows, end = [], 0
+    for i in range(1200):
+        if i % 3 == 0:
+            rows.append(("k", i, end, end + i % 5 + 1, i % 5 + 1, 2000 - i))
+            end += i % 5 + 1
+        else:
+            rows.append(("k", i, -i, end if i % 3 == 1 else -i - 1, 1, 1))
+    df = spark.createDataFrame(rows, "k string, i bigint, s bigint, e bigint, d bigint, c bigint")
+    out = stateful.merge_anchored(df, ["k"], ["i"], "s", "e", "d", "c", rows_per_chunk=1)
+    last = {r.i: (r.s, r.e, r.d, r.c) for r in out.collect()}
+    assert len(last) == 1199 and last[1197] == (0, end, end, 2000 - 1197)
+    assert last[1198] == (-1198, end, 1, 1)
+    assert len(rounds) <= 2 * 11 + 4
+
+
 def test_salted_join_meets_every_pair_once(df, data, small_chunks):
     left = df.select("k", F.col("i").alias("l"))
     right = df.filter("i % 3 = 0").select("k", F.col("i").alias("r"))

@@ -8,8 +8,9 @@ holding a whole key in memory. Heavy keys do not wait for one walker either:
 * delta filter: the effect of a chunk on the state is a small step function of
   the state it starts from. Chunks compute theirs independently, one row per
   step; composing them gives every chunk its starting state.
-* anchored merge: the records that the anchor absorbs form a linked list, which
-  is followed by doubling, in a logarithmic number of equi-joins.
+* anchored merge: a chunk is a table of how an anchor that enters it leaves it,
+  found by one walk backwards. Only these entries are linked from chunk to chunk
+  and followed by doubling, in rounds that grow with the logarithm of the chunks.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +28,6 @@ from tidemark.operators.chunks import (
     ROWS_PER_CHUNK,
     Fold,
     islands,
-    position,
     running,
     narrow,
     same_key,
@@ -37,6 +37,10 @@ from tidemark.operators.walk import groups, to_batch, walk
 from tidemark.session import cut_lineage
 
 
+# An anchored chunk's table is in the memory of one Python worker.
+ANCHORED_ROWS_PER_CHUNK = 500_000
+
+
 # -- delta filter ---------------------------------------------------------------
 
 
@@ -262,7 +266,7 @@ def merge_chains(
 def merge_anchored(
     df: DataFrame, keys: Sequence[str], order: Sequence[str],
     start: str, end: str, duration: str, time_of_day: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
+    rows_per_chunk: int = ANCHORED_ROWS_PER_CHUNK, costly: bool = False,
 ) -> DataFrame:
     """Merge records into an anchor that they extend.
 
@@ -277,28 +281,40 @@ def merge_anchored(
     tagged, split = tag_chunks(
         df.select(*needed), keys, order, rows_per_chunk, costly
     )
-    light = tagged.filter(F.col(LAST_CHUNK) == 0) if split else tagged
-    walked = _walk_anchored(light.select(*needed), keys, order, record)
     if not split:
-        return walked
-    heavy = tagged.filter(F.col(LAST_CHUNK) > 0).select(*needed)
-    return walked.unionByName(_list_anchored(heavy, keys, order, record, rows_per_chunk))
+        none = [F.lit(None).cast("bigint").alias(a) for a in _ANCHOR]
+        return _walk_anchored(tagged.select(*needed, *none), keys, order, record, needed)
+    anchors = narrow(_entering_anchors(tagged, keys, order, record), split)
+    pairs = [*_numbered_pairs(keys, "anchor"), (CHUNK, "__anchor_chunk")]
+    rows = tagged.join(anchors, same_key(tagged, anchors, pairs), "left").select(
+        *[tagged[c] for c in needed], tagged[CHUNK], *_ANCHOR
+    )
+    return _walk_anchored(rows, [*keys, CHUNK], order, record, needed)
 
 
-def _walk_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], record: Sequence[str]) -> DataFrame:
-    columns = list(dict.fromkeys([*keys, *order, *record]))
+# The anchor a chunk begins with: its start, end, duration and time of day.
+_ANCHOR = ["__a_start", "__a_end", "__a_span", "__a_time"]
+
+
+def _walk_anchored(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], record: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
     schema = T.StructType([df.schema[c] for c in columns])
 
     def step(batches):
         group, anchor = None, None
         for batch in batches:
             starts, ends, spans, times = (batch.column(c).to_pylist() for c in record)
+            entering = [batch.column(c).to_pylist() for c in _ANCHOR]
             emitted = []
-            for i, g in enumerate(groups(batch, keys)):
+            for i, g in enumerate(groups(batch, by)):
                 if g != group:
-                    group, anchor = g, (starts[i], ends[i], spans[i], times[i])
-                    emitted.append(False)
-                    continue
+                    group = g
+                    if entering[2][i] is None:
+                        anchor = (starts[i], ends[i], spans[i], times[i])
+                        emitted.append(False)
+                        continue
+                    anchor = tuple(c[i] for c in entering)
                 emitted.append(True)
                 if starts[i] == anchor[1]:
                     anchor = (anchor[0], ends[i], anchor[2] + spans[i], min(anchor[3], times[i]))
@@ -313,74 +329,107 @@ def _walk_anchored(df: DataFrame, keys: Sequence[str], order: Sequence[str], rec
             )
             yield merged.filter(pa.array(emitted, pa.bool_()))
 
-    return walk(df, keys, order, step, schema)
+    return walk(df, by, order, step, schema)
 
 
-def _list_anchored(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], record: Sequence[str],
-    rows_per_chunk: int,
+def _entering_anchors(
+    tagged: DataFrame, keys: Sequence[str], order: Sequence[str], record: Sequence[str]
 ) -> DataFrame:
-    start, end, duration, time_of_day = record
-    columns = df.columns
-    if any(c in order for c in record):
-        # the record columns change below, the position must not
-        df = df.withColumns({f"__order_{i}": F.col(c) for i, c in enumerate(order)})
-        order = [f"__order_{i}" for i in range(len(order))]
-    df = cut_lineage(df)
-    at = position(order).alias("__at")
-    backwards = [f"__back_{i}" for i in range(len(order))]
-    reverse = [(-F.col(c)).alias(b) for c, b in zip(order, backwards)]
-
-    # successor of a record: the next one that starts where this one ends
-    probes = df.select(*keys, F.col(end).alias("__value"), *reverse, F.lit(0).alias("__side"), at)
-    targets = df.select(*keys, F.col(start).alias("__value"), *reverse, F.lit(1).alias("__side"), at)
-    successors = running(
-        probes.unionByName(targets),
-        [*keys, "__value"],
-        [*backwards, "__side"],
+    """The anchor at the start of every chunk of a heavy key but its first, one row each.
+
+    A chunk changes an anchor only by the first of its records that starts at the
+    anchor's end, and from there on its own records decide. So a chunk is a table
+    from such starts to how the anchor leaves the chunk, found by one walk
+    backwards. An entry leads on to the first later chunk with an entry for its
+    end; a path has an entry per chunk at most, so jumps over 1, 2, 4, ... entries
+    reach all of the anchor's path in as many rounds as the chunks have bits.
+    """
+    tables = cut_lineage(_chunk_tables(tagged, keys, order, record))
+    heads = tables.filter("first")
+    by_key = Window.partitionBy(*keys)
+    heads = heads.withColumn("first", F.col("chunk") == F.min("chunk").over(by_key))  # a row per chunk
+    nodes = tables.filter("not first").unionByName(heads.filter("first"))
+    at = F.struct("chunk", "start", "first").alias("__at")
+
+    # the next entry of an entry: in the first later chunk that has one for its end
+    probes = nodes.select(*keys, F.col("left").alias("__value"), (-F.col("chunk")).alias("__back"), F.lit(0).alias("__side"), at)
+    targets = tables.filter("not first").select(
+        *keys, F.col("start").alias("__value"), (-F.col("chunk")).alias("__back"), F.lit(1).alias("__side"), at
+    )
+    links = running(
+        probes.unionByName(targets), [*keys, "__value"], ["__back", "__side"],
         [Fold("__next", "last", F.when(F.col("__side") == 1, F.col("__at")))],
-        rows_per_chunk=rows_per_chunk,
     ).filter((F.col("__side") == 0) & F.col("__next").isNotNull())
+    jumps = [cut_lineage(links.select(*_numbered(keys, "from"), F.col("__at").alias("__from"), F.col("__next").alias("__to")))]
+    most = heads.agg(F.max("chunk")).first()[0] or 0
+    for _ in range(most.bit_length() - 1):
+        jumps.append(cut_lineage(_double(jumps[-1], keys)))
+    path = cut_lineage(nodes.filter("first").select(*keys, at))
+    for far in reversed(jumps):
+        step = cut_lineage(_follow(path, far, keys))
+        path = path.unionByName(step)  # of written tables
+
+    met = path.select(*_numbered(keys, "met"), F.col("__at").alias("__met_at"))
+    placed = nodes.withColumn("__at", at)
+    on_path = placed.join(met, same_key(placed, met, [*_numbered_pairs(keys, "met"), ("__at", "__met_at")]), "left_semi")
+    on_path = on_path.select(
+        *_numbered(keys, "on"), F.col("chunk").alias("__on"), F.when(F.col("first"), F.col("start")).alias("__root"),
+        "left", "span", "time",
+    )
+    chunks = heads.select(*keys, "chunk")
+    before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    folded = [
+        F.first("__root", ignorenulls=True), F.last("left", ignorenulls=True), F.sum("span"), F.min("time"),
+    ]
+    joined = chunks.join(on_path, same_key(chunks, on_path, [*_numbered_pairs(keys, "on"), ("chunk", "__on")]), "left")
+    return cut_lineage(joined.select(
+        *_numbered(keys, "anchor"), F.col("chunk").alias("__anchor_chunk"),
+        *[f.over(before).cast("bigint").alias(a) for f, a in zip(folded, _ANCHOR)],
+    ))
 
-    jumps = cut_lineage(successors.select(*_numbered(keys, "from"), F.col("__at").alias("__from"), F.col("__next").alias("__to")))
-    absorbed = cut_lineage(df.groupBy(*keys).agg(F.min(at).alias("__at")))
-    roots = absorbed.select(*_numbered(keys, "root"), F.col("__at").alias("__root_at"))
-    while True:
-        step = cut_lineage(_follow(absorbed, jumps, keys))
-        if step.isEmpty():
-            break
-        absorbed = absorbed.unionByName(step)  # of written tables
-        jumps = cut_lineage(_double(jumps, keys))
-
-    chain = absorbed.select(*_numbered(keys, "chain"), F.col("__at").alias("__chain_at"))
-    rows = df.withColumn("__at", at)
-    rows = rows.join(
-        chain,
-        same_key(rows, chain, [*_numbered_pairs(keys, "chain"), ("__at", "__chain_at")]),
-        "left",
-    ).select(*[rows[c] for c in rows.columns], F.col("__chain_at").isNotNull().alias("__merged"))
-    plain = rows.filter(~F.col("__merged")).select(*columns)
-
-    merged = rows.filter("__merged")
-    merged = merged.join(
-        roots,
-        same_key(merged, roots, [*_numbered_pairs(keys, "root"), ("__at", "__root_at")]),
-        "left",
-    ).select(*[merged[c] for c in rows.columns], F.col("__root_at").isNotNull().alias("__is_root"))
-    grown = running(
-        merged, keys, order,
-        [
-            Fold("__anchor_start", "last", F.when(F.col("__is_root"), F.col(start))),
-            Fold("__grown", "sum", F.col(duration)),
-            Fold("__earliest", "min", F.col(time_of_day)),
-        ],
-        rows_per_chunk=rows_per_chunk,
-        costly=True,
-    ).filter(~F.col("__is_root"))
-    values = {start: "__anchor_start", duration: "__grown", time_of_day: "__earliest"}
-    return plain.unionByName(
-        grown.select(*[F.col(values.get(c, c)).alias(c) for c in columns])
+
+def _chunk_tables(tagged: DataFrame, keys: Sequence[str], order: Sequence[str], record: Sequence[str]) -> DataFrame:
+    """(keys, chunk, start, left, span, time, first): how an anchor that ends at ``start`` leaves a chunk.
+
+    ``left`` is its end then; span and time are those of the records it has
+    absorbed. A ``first`` row says the same of the chunk's first record itself.
+    """
+    backwards = [f"__back_{i}" for i in range(len(order))]
+    heavy = tagged.filter(F.col(LAST_CHUNK) > 0).select(
+        *keys, F.col(CHUNK).alias("chunk"), *[(-F.col(c)).alias(b) for c, b in zip(order, backwards)],
+        *[F.col(c).cast("bigint").alias(f"__{i}") for i, c in enumerate(record)],
     )
+    by = [*keys, "chunk"]
+    numbers = ["start", "left", "span", "time"]
+    schema = T.StructType([
+        *[heavy.schema[c] for c in by], *[T.StructField(n, T.LongType()) for n in numbers], T.StructField("first", T.BooleanType()),
+    ])
+
+    def entries(group, table, first, kinds):
+        own = pa.schema([*zip(by, kinds), *[(n, pa.int64()) for n in numbers], ("first", pa.bool_())])
+        rows = [(*group, s, *left, False) for s, left in table.items()]
+        for i in range(0, len(rows), 50_000):
+            yield to_batch(rows[i : i + 50_000], own)
+        yield to_batch([(*group, *first, True)], own)
+
+    def step(batches):
+        group, table, first, kinds = None, {}, None, []
+        for batch in batches:
+            kinds = [batch.schema.field(c).type for c in by]
+            columns = (batch.column(f"__{i}").to_pylist() for i in range(4))
+            for g, s, e, d, t in zip(groups(batch, by), *columns):
+                if g != group:
+                    if group is not None:
+                        yield from entries(group, table, first, kinds)
+                    group, table = g, {}
+                onward = table.get(e)
+                left = (e, d, t) if onward is None else (onward[0], d + onward[1], min(t, onward[2]))
+                table[s] = left
+                first = (s, *left)
+        if group is not None:
+            yield from entries(group, table, first, kinds)
+
+    return walk(heavy, by, backwards, step, schema)
 
 
 def _numbered(keys: Sequence[str], side: str) -> list[Column]:
