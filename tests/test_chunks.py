@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,14 +143,34 @@ def test_delta_filter(df, data, small_chunks, limit):
     assert {r.i for r in split.collect()} == expected
 
 
+def test_jumps_match_a_walk():
+    rng = random.Random(4)
+    for spread in (3, 20, 1 << 62):
+        for _ in range(150):
+            limit = rng.randrange(0, 8)
+            values = np.array([rng.choice([0, rng.randrange(-spread, spread + 1)]) if rng.random() < 0.3
+                               else rng.randrange(-spread, spread + 1) for _ in range(rng.randrange(1, 60))])
+            opening = np.array([0, *sorted(rng.sample(range(1, len(values)), min(len(values) - 1, 3)))])
+            states = np.array([rng.randrange(-spread, spread + 1) for _ in opening])
+            due, last = [], 0
+            for i, v in enumerate(values.tolist()):
+                if i in opening:
+                    last = int(states[list(opening).index(i)])
+                due.append(v == 0 or abs(v - last) > limit)
+                last = v if due[-1] else last
+            assert stateful.Jumps(values, opening, limit).kept(states).tolist() == due
+
+
 def test_state_steps_match_a_walk():
     rng = random.Random(3)
     for _ in range(300):
         limit = rng.randrange(0, 8)
         values = [rng.randrange(-15, 16) or rng.choice([0, 1]) for _ in range(rng.randrange(1, 30))]
         steps = stateful.StateSteps(limit)
-        for v in values:
-            steps.add(v)
+        cut = rng.randrange(0, len(values))
+        for part in (values[:cut], values[cut:]):
+            if part:
+                steps.add(np.array(part))
         pieces = list(steps.steps())
         for state in range(-40, 41):
             last = state

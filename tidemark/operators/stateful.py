@@ -2,8 +2,9 @@
 
 What has an algebraic form is a window (runs, chains of adjacent intervals).
 The delta filter and the anchored merge depend on what was emitted before; for
-them the rows of a key are walked in order, batch by batch, without ever
-holding a whole key in memory. Heavy keys do not wait for one walker either:
+them the rows of a key are taken in order, batch by batch, without ever
+holding a whole key in memory. The delta filter jumps from kept row to kept row,
+on arrays. Heavy keys do not wait for one walker either:
 
 * delta filter: the effect of a chunk on the state is a small step function of
   the state it starts from. Chunks compute theirs independently, one row per
@@ -17,7 +18,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,23 +80,98 @@ def delta_filter(
     rows = rows.select(*columns, *([CHUNK] if split else []), "__start")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, last = None, initial
+        last, before = None, None
         for batch in batches:
-            mask = []
-            values = batch.column(value).to_pylist()
-            starts = batch.column("__start").to_pylist()
-            for g, v, start in zip(groups(batch, by), values, starts):
-                if g != group:
-                    group, last = g, start
-                kept = v == 0 or abs(v - last) > limit
-                if kept:
-                    last = v
-                mask.append(kept)
-            yield batch.filter(pa.array(mask, pa.bool_())).select(columns)
+            if not batch.num_rows:
+                continue
+            values = batch.column(value).cast(pa.int64()).to_numpy()
+            opening = openings(batch, by, before)
+            states = batch.column("__start").take(pa.array(opening, pa.int64())).to_numpy()
+            if not len(opening) or opening[0]:  # the first rows go on with the group of the last batch
+                opening, states = np.append(0, opening), np.append(last, states)
+            kept = Jumps(values, opening, limit).kept(states)
+            yield batch.filter(pa.array(kept)).select(columns)
+            places = np.flatnonzero(kept[opening[-1] :])
+            last = int(values[opening[-1] + places[-1]]) if len(places) else int(states[-1])
+            before = batch.slice(batch.num_rows - 1)
 
     return walk(rows, by, order, keep, df.schema)
 
 
+class Jumps:
+    """For every row of a batch, the next row that would be kept if it was.
+
+    That is the first later row of its segment with value 0 or outside the band
+    around its own value. It is found for all rows together, by descending a
+    table of the largest and smallest values of 1, 2, 4, ... rows.
+    """
+
+    def __init__(self, values: np.ndarray, opening: np.ndarray, limit: int):
+        self.values, self.opening, self.limit = values, opening, limit
+        self.stops = np.append(opening[1:], len(values))
+        segment = np.repeat(np.arange(len(opening)), self.stops - opening)
+        highest, lowest = np.where(values == 0, _MOST, values), np.where(values == 0, _LEAST, values)
+        self.spans = [(highest, lowest)]
+        while 2 ** len(self.spans) <= len(values):
+            half = 2 ** (len(self.spans) - 1)
+            (high, low), n = self.spans[-1], len(values) - 2 ** len(self.spans) + 1
+            self.spans.append((np.maximum(high[:n], high[half : half + n]), np.minimum(low[:n], low[half : half + n])))
+        # One place after the last row stands for none.
+        self.next = np.append(self.leaving(np.arange(1, len(values) + 1), values, self.stops[segment]), len(values))
+
+    def leaving(self, at: np.ndarray, states: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The first row from ``at`` on, before ``stops``, that is 0 or outside the band around a state; or no row."""
+        upper = np.where(states > _MOST - 1 - self.limit, _MOST - 1, states + self.limit)
+        lower = np.where(states < _LEAST + 1 + self.limit, _LEAST + 1, states - self.limit)
+        at = at.copy()
+        for k in reversed(range(len(self.spans))):
+            high, low = self.spans[k]
+            fits = np.flatnonzero(at + 2**k <= stops)
+            here = at[fits]
+            inside = (high[here] <= upper[fits]) & (low[here] >= lower[fits])
+            at[fits[inside]] += 2**k
+        return np.where(at < stops, at, len(self.values))
+
+    def _powers(self) -> list[np.ndarray]:
+        """The row after 1, 2, 4, ... kept rows, the largest number first."""
+        jumps = [self.next]
+        while 2 ** len(jumps) <= len(self.values):
+            jumps.append(jumps[-1][jumps[-1]])
+        return jumps[::-1]
+
+    def kept(self, states: np.ndarray) -> np.ndarray:
+        """Which rows are kept, if the segments begin in these states."""
+        reached = np.zeros(len(self.values) + 1, bool)
+        reached[self.leaving(self.opening, states, self.stops)] = True
+        for jump in self._powers():
+            reached[jump[reached]] = True
+        return reached[:-1]
+
+    def last(self) -> np.ndarray:
+        """For every row, the last one of its segment that is kept if it is kept itself."""
+        n = len(self.values)
+        at = np.arange(n)
+        for jump in self._powers():
+            onward = jump[at]
+            at = np.where(onward < n, onward, at)
+        return at
+
+
+def openings(batch: pa.RecordBatch, by: Sequence[str], before: pa.RecordBatch | None) -> np.ndarray:
+    """Where groups begin in a sorted batch; its first row goes on with the group of the row before, if that is equal."""
+    n = batch.num_rows
+    changed = np.zeros(n, bool)
+    changed[0] = before is None
+    for name in by:
+        column = batch.column(name)
+        known = column if before is None else pa.concat_arrays([before.column(name), column])
+        earlier, later = known.slice(0, len(known) - 1), known.slice(1)
+        differs = pc.fill_null(pc.not_equal(earlier, later), False).to_numpy(zero_copy_only=False)
+        nulls = known.is_null().to_numpy(zero_copy_only=False)
+        changed[n - len(differs) :] |= differs | (nulls[1:] != nulls[:-1])
+    return np.flatnonzero(changed)
+
+
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1  # all states: any bigint
 
 
@@ -109,24 +187,36 @@ class StateSteps:
         self.same: tuple[int, int] | None = (_LEAST, _MOST)
         self.fixed: dict[int, list[tuple[int, int]]] = {}
 
-    def add(self, v: int) -> None:
-        if v == 0:
-            self.same, self.fixed = None, {0: [(_LEAST, _MOST)]}
-            return
-        moved = []
-        for outcome in [c for c in self.fixed if abs(v - c) > self.limit]:
-            moved += self.fixed.pop(outcome)
+    def add(self, values: np.ndarray) -> None:
+        """Go on with more rows."""
+        n = len(values)
+        jumps = Jumps(values, np.zeros(1, np.int64), self.limit)
+        outcome = values[jumps.last()]
+        moved: dict[int, list[tuple[int, int]]] = {}
+        if self.fixed:
+            states = np.array(list(self.fixed), np.int64)
+            first = jumps.leaving(np.zeros(len(states), np.int64), states, np.full(len(states), n))
+            after = np.where(first < n, outcome[np.minimum(first, n - 1)], states)
+            for state, ranges in zip(after.tolist(), self.fixed.values()):
+                moved.setdefault(state, []).extend(ranges)
         if self.same:
-            low, high = self.same
-            near, far = v - self.limit, v + self.limit
-            if low < near:
-                moved.append((low, min(high, near - 1)))
-            if high > far:
-                moved.append((max(low, far + 1), high))
-            low, high = max(low, near), min(high, far)
-            self.same = (low, high) if low <= high else None
-        if moved:
-            self.fixed[v] = _joined(self.fixed.get(v, []) + moved)
+            zeros = np.flatnonzero(values == 0)
+            end = int(zeros[0]) if len(zeros) else n
+            # What still passes after each row; only a new largest or smallest value changes it.
+            lows = np.maximum(np.maximum.accumulate(values[:end]), _LEAST + self.limit) - self.limit
+            highs = np.minimum(np.minimum.accumulate(values[:end]), _MOST - self.limit) + self.limit
+            lows = np.maximum(np.append(self.same[0], lows), self.same[0])
+            highs = np.minimum(np.append(self.same[1], highs), self.same[1])
+            for j in np.flatnonzero((lows[1:] > lows[:-1]) | (highs[1:] < highs[:-1])).tolist():
+                low, high, next_low, next_high = (int(x) for x in (lows[j], highs[j], lows[j + 1], highs[j + 1]))
+                for a, b in ((low, min(high, next_low - 1)), (max(low, next_high + 1), high)):
+                    if a <= b and low <= high:
+                        moved.setdefault(int(outcome[j]), []).append((a, b))
+            low, high = int(lows[-1]), int(highs[-1])
+            if end < n and low <= high:
+                moved.setdefault(int(outcome[end]), []).append((low, high))
+            self.same = (low, high) if end == n and low <= high else None
+        self.fixed = {state: _joined(ranges) for state, ranges in moved.items()}
 
     def steps(self) -> Iterator[tuple[int, int, int | None]]:
         if self.same:
@@ -169,21 +259,25 @@ def _entering_states(
     of_chunk = [*by, "__at_chunk"]
 
     def summarise(batches):
-        group, steps, schema = None, None, None
+        group, steps, before, schema = None, None, None, None
         for batch in batches:
-            if schema is None:
-                schema = pa.schema(
-                    [batch.schema.field(c) for c in of_chunk]
-                    + [pa.field(n, pa.int64()) for n in ("__low", "__high", "__outcome")]
-                )
-            done = []
-            for g, v in zip(groups(batch, of_chunk), batch.column("__value").to_pylist()):
-                if g != group:
-                    if steps is not None:
-                        done += [(*group, *s) for s in steps.steps()]
-                    group, steps = g, StateSteps(limit)
-                steps.add(v)
-            yield to_batch(done, schema)
+            if not batch.num_rows:
+                continue
+            schema = pa.schema(
+                [batch.schema.field(c) for c in of_chunk]
+                + [pa.field(n, pa.int64()) for n in ("__low", "__high", "__outcome")]
+            )
+            values = batch.column("__value").to_numpy()
+            opening = openings(batch, of_chunk, before)
+            if not len(opening) or opening[0]:  # the first rows go on with the group of the last batch
+                steps.add(values[: opening[0] if len(opening) else None])
+            for a, b in zip(opening, [*opening[1:], batch.num_rows]):
+                if steps is not None:
+                    yield to_batch([(*group, *s) for s in steps.steps()], schema)
+                group = tuple(batch.column(c)[int(a)].as_py() for c in of_chunk)
+                steps = StateSteps(limit)
+                steps.add(values[a:b])
+            before = batch.slice(batch.num_rows - 1)
         if steps is not None:
             yield to_batch([(*group, *s) for s in steps.steps()], schema)
 
