@@ -104,7 +104,7 @@ def test_running_reduce(df, data, small_chunks, keyed):
         expected[i] = total.get(key)
     for options in ({}, small_chunks):
         out = rolling.rolling_reduce(
-            rows, ["k"] if keyed else [], ["t", "i"], "f", compose, **options)
+            rows, ["k"] if keyed else [], ["t", "i"], "f", rolling.of_values(compose), **options)
         assert {r.i: r.reduced for r in out.collect()} == expected
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from tidemark.operators.chunks import (
     same_key,
     tag_chunks,
 )
-from tidemark.operators.walk import groups, to_batch, walk
+from tidemark.operators.walk import groups, openings, to_batch, walk
 
 
 def rolling_sum(
@@ -63,14 +64,17 @@ def rolling_list(
 
 def rolling_reduce(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-    combine: Callable[[Any, Any], Any], name: str = "reduced",
+    combine: Callable[[np.ndarray, np.ndarray], np.ndarray], name: str = "reduced",
     rows_per_chunk: int = ROWS_PER_CHUNK, costly: bool = False,
 ) -> DataFrame:
-    """Running reduce by any associative Python function of two values.
-
-    Counts, sums, minima and maxima are built-in folds of ``running``; this one
-    walks the rows. Chunks of a heavy key are reduced first, and their walks
-    start from what the chunks before them came to. Null values are passed over.
+    """Running reduce by any associative function.
+
+    ``combine`` gets two arrays, the earlier and the later values, and returns
+    their combinations; ``of_values`` makes one of a function of two values. Rows
+    of a batch are combined in a number of steps that is the logarithm of its
+    longest group. Counts, sums, minima and maxima are built-in folds of
+    ``running``. Chunks of a heavy key are reduced first, and go on from what the
+    chunks before them came to. Null values are passed over.
     """
     tagged, split = tag_chunks(df, keys, order, rows_per_chunk, costly)
     kind = df.schema[value].dataType
@@ -105,30 +109,69 @@ def rolling_reduce(
     return walk(rows, by, order, _reducing(by, value, combine, columns, name), schema)
 
 
-def _combined(combine: Callable, total: Any, v: Any) -> Any:
-    if total is None or v is None:
-        return v if total is None else total
-    return combine(total, v)
+def of_values(combine: Callable[[Any, Any], Any]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of two values as one of two arrays."""
+    return lambda a, b: np.frompyfunc(combine, 2, 1)(a, b)
+
+
+def prefix_scan(values: np.ndarray, opening: np.ndarray, combine: Callable) -> np.ndarray:
+    """Combination of all values of a segment up to each; segments begin at ``opening``.
+
+    Every step combines each value with the one 1, 2, 4, ... places before it.
+    """
+    found, place = values.copy(), np.arange(len(values))
+    place -= np.repeat(opening, np.diff(np.append(opening, len(values))))
+    far = 1
+    while far <= place.max(initial=0):
+        at = np.flatnonzero(place >= far)
+        found[at] = combine(found[at - far], found[at])
+        far *= 2
+    return found
+
+
+def _scanned(batches, by: Sequence[str], value: str, combine: Callable, before: str | None):
+    """(batch, where its groups begin, is the first one new, reduction so far of every row)."""
+    earlier, total = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        opening = openings(batch, by, earlier)
+        kind = batch.schema.field(value).type
+        nothing = pa.nulls(len(opening), kind)
+        befores = nothing if before is None else batch.column(before).take(pa.array(opening, pa.int64()))
+        new = bool(len(opening)) and opening[0] == 0
+        if not new:  # the first rows go on with the group of the last batch
+            opening = np.append(0, opening)
+            befores = pa.concat_arrays([pa.array([total], kind), befores])
+        column = batch.column(value)
+        valid = column.is_valid().to_numpy(zero_copy_only=False)
+        place = np.cumsum(valid)
+        segment = np.repeat(np.arange(len(opening)), np.diff(np.append(opening, batch.num_rows)))
+        first = (place - valid)[opening]  # values before each segment
+        values = column.drop_null().to_numpy(zero_copy_only=False)
+        of_value = segment[valid]
+        if len(values):
+            used = np.flatnonzero(np.append(True, np.diff(of_value) > 0))
+            values = prefix_scan(values, used, combine)
+            has = befores.is_valid().to_numpy(zero_copy_only=False)
+            goes_on = np.flatnonzero(has[of_value])
+            if len(goes_on):
+                start = befores.take(pa.array(of_value[goes_on])).to_numpy(zero_copy_only=False)
+                values[goes_on] = combine(start, values[goes_on])
+        pool = pa.concat_arrays([pa.array(values, kind), befores])
+        seen = place > first[segment]
+        reduced = pool.take(pa.array(np.where(seen, place - 1, len(values) + segment)))
+        yield batch, opening, new, reduced
+        earlier, total = batch.slice(batch.num_rows - 1), reduced[-1].as_py()
 
 
 def _reducing(by: Sequence[str], value: str, combine: Callable, columns: Sequence[str], name: str):
     """Every row with the reduction of its group so far, from ``__before`` on."""
 
     def step(batches):
-        group, total = None, None
-        for batch in batches:
-            reduced = []
-            values = batch.column(value).to_pylist()
-            befores = batch.column("__before").to_pylist()
-            for g, v, before in zip(groups(batch, by), values, befores):
-                if g != group:
-                    group, total = g, before
-                total = _combined(combine, total, v)
-                reduced.append(total)
-            kind = batch.schema.field(value).type
+        for batch, _, _, reduced in _scanned(batches, by, value, combine, "__before"):
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in columns], pa.array(reduced, kind)],
-                names=[*columns, name],
+                [*[batch.column(c) for c in columns], reduced], names=[*columns, name]
             )
 
     return step
@@ -138,36 +181,38 @@ def _totals(by: Sequence[str], combine: Callable):
     """One row per group with its reduction."""
 
     def step(batches):
-        group, total, schema = None, None, None
-        for batch in batches:
-            schema = pa.schema([batch.schema.field(c) for c in [*by, "__value"]])
-            done = []
-            for g, v in zip(groups(batch, by), batch.column("__value").to_pylist()):
-                if g != group:
-                    if group is not None:
-                        done.append((*group, total))
-                    group, total = g, None
-                total = _combined(combine, total, v)
-            yield to_batch(done, schema)
-        if group is not None:
-            yield to_batch([(*group, total)], schema)
+        held = None  # the last row of a group that may go on
+        for batch, opening, new, reduced in _scanned(batches, by, "__value", combine, None):
+            rows = pa.RecordBatch.from_arrays([*[batch.column(c) for c in by], reduced], names=[*by, "__value"])
+            if new and held is not None:
+                yield held
+            ends = np.append(opening[1:], batch.num_rows) - 1
+            yield rows.take(pa.array(ends[:-1], pa.int64()))
+            held = rows.slice(batch.num_rows - 1)
+        if held is not None:
+            yield held
 
     return step
 
 
 def _befores(by: Sequence[str], combine: Callable):
-    """Every chunk with the reduction of the chunks before it."""
+    """Every chunk with the reduction of the chunks before it; a row per chunk."""
 
     def step(batches):
         group, total = None, None
         for batch in batches:
+            kind = batch.schema.field("__value").type
             done = []
             rows = zip(groups(batch, by), batch.column("__at").to_pylist(), batch.column("__value").to_pylist())
             for g, at, v in rows:
                 if g != group:
                     group, total = g, None
                 done.append((*g, at, total))
-                total = _combined(combine, total, v)
+                if total is None or v is None:
+                    total = v if total is None else total
+                else:
+                    one, two = (pa.array([x], kind).to_numpy(zero_copy_only=False) for x in (total, v))
+                    total = pa.array(combine(one, two), kind)[0].as_py()
             yield to_batch(done, pa.schema([batch.schema.field(c) for c in [*by, "__at", "__value"]]))
 
     return step

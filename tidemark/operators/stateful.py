@@ -20,7 +20,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +35,7 @@ from tidemark.operators.chunks import (
     same_key,
     tag_chunks,
 )
-from tidemark.operators.walk import groups, to_batch, walk
+from tidemark.operators.walk import groups, openings, to_batch, walk
 from tidemark.session import cut_lineage
 
 
@@ -157,21 +156,6 @@ class Jumps:
         return at
 
 
-def openings(batch: pa.RecordBatch, by: Sequence[str], before: pa.RecordBatch | None) -> np.ndarray:
-    """Where groups begin in a sorted batch; its first row goes on with the group of the row before, if that is equal."""
-    n = batch.num_rows
-    changed = np.zeros(n, bool)
-    changed[0] = before is None
-    for name in by:
-        column = batch.column(name)
-        known = column if before is None else pa.concat_arrays([before.column(name), column])
-        earlier, later = known.slice(0, len(known) - 1), known.slice(1)
-        differs = pc.fill_null(pc.not_equal(earlier, later), False).to_numpy(zero_copy_only=False)
-        nulls = known.is_null().to_numpy(zero_copy_only=False)
-        changed[n - len(differs) :] |= differs | (nulls[1:] != nulls[:-1])
-    return np.flatnonzero(changed)
-
-
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1  # all states: any bigint
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
@@ -10,6 +11,7 @@ from tidemark.plans.inputs import ORDER, events, with_events
 from tidemark.plans.registry import report
 from tidemark.sources.readers import spread, table
 
+_PRIME = 1_000_003
 _SO_FAR = "ORDER BY ms, event_id ROWS UNBOUNDED PRECEDING"
 
 
@@ -94,13 +96,29 @@ def rolling_sum_all(spark, folder):
     )
 )
 def rolling_reduce_type(spark, folder):
-    """Running reduce by a Python function of two values, few heavy keys."""
+    """Running reduce by a Python function, few heavy keys."""
     rows = events(spark, folder).select("event_id", "ms", "event_type", "cents")
     return R.rolling_reduce(
-        rows, ["event_type"], ORDER, "cents", lambda a, b: b if b > a else a, "largest",
+        rows, ["event_type"], ORDER, "cents", np.maximum, "largest",
     ).select("event_id", "event_type", "largest")
 
 
+@report(
+    with_events(
+        f"""SELECT event_id, event_type,
+  list_reduce(list(1 + abs(cents) % 1000) OVER (PARTITION BY event_type {_SO_FAR}),
+    lambda a, b: a * b % {_PRIME}) AS product FROM e"""
+    )
+)
+def rolling_product_type(spark, folder):
+    """Running product modulo a prime: a reduce function without a built-in form."""
+    rows = events(spark, folder).select("event_id", "ms", "event_type", "cents")
+    small = rows.withColumn("factor", 1 + F.abs("cents") % 1000)
+    return R.rolling_reduce(
+        small, ["event_type"], ORDER, "factor", lambda a, b: a * b % _PRIME, "product",
+    ).select("event_id", "event_type", "product")
+
+
 @report(
     with_events(
         f"""SELECT event_id, user_id,
