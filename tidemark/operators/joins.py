@@ -221,16 +221,47 @@ def delivery_status(order_ms: Column, delivery_ms: Column, limit_ms: int) -> Col
 def match_deliveries(
     orders: DataFrame, deliveries: DataFrame, order_id: str, delivery_order_id: str,
     order_ms: str, delivery_ms: str, limit_ms: int, number: str = "class_number",
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    expire_ms: int | None = None, rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """One-to-one match of orders and deliveries, classified and numbered.
 
+    Orders and deliveries of an id come in the order of their times (orders first
+    where these are equal). Each is kept until one of the other side comes, which
+    uses it up; a later one of its own side takes its place. What has been kept
+    for ``expire_ms`` is forgotten. Null ids match nothing.
+
+    So a row is matched with the row before it, if that is of the other side and
+    was not matched itself: in a run of rows that could be, it is every second.
     The running number of a class follows delivery time and order id. There are
-    only two classes, so numbering is chunked.
+    only two classes, so numbering is chunked, as the ids are.
     """
-    matched = orders.join(
-        deliveries, F.col(order_id) == F.col(delivery_order_id), "inner"
-    ).withColumns(
+    nothing = [F.lit(None).cast(x.select(F.struct(*x.columns)).schema[0].dataType) for x in (orders, deliveries)]
+    sides = []
+    for side, (df, key, at) in enumerate(((orders, order_id, order_ms), (deliveries, delivery_order_id, delivery_ms))):
+        whole = F.struct(*df.columns)
+        own = [whole if i == side else none for i, none in enumerate(nothing)]
+        sides.append(df.filter(F.col(key).isNotNull()).select(
+            F.col(key).alias("__id"), F.col(at).alias("__t"), F.lit(side).alias("__side"),
+            F.xxhash64(*df.columns).alias("__tie"), own[0].alias("__o"), own[1].alias("__d"),
+        ))
+    order = ["__t", "__side", "__tie"]
+    before = F.struct("__t", "__side", "__o", "__d")
+    seen = running(
+        sides[0].unionByName(sides[1]), ["__id"], order,
+        [Fold("__before", "last", before), Fold("__n", "count", F.lit(1))],
+        exclusive=True, rows_per_chunk=rows_per_chunk, costly=True,
+    )
+    fits = F.col("__side") != F.col("__before.__side")
+    if expire_ms is not None:
+        fits = fits & (F.col("__t") - F.col("__before.__t") < expire_ms)
+    ready = seen.withColumn("__fits", F.coalesce(fits, F.lit(False)))
+    paired = running(
+        ready, ["__id"], order, [Fold("__run", "last", F.when(~F.col("__fits"), F.col("__n")))],
+        rows_per_chunk=rows_per_chunk, costly=True,
+    ).filter(F.col("__fits") & ((F.col("__n") - F.col("__run")) % 2 == 1))
+    matched = paired.select(
+        F.coalesce("__o", "__before.__o").alias("o"), F.coalesce("__d", "__before.__d").alias("d")
+    ).select("o.*", "d.*").withColumns(
         {
             "deadline_ms": F.col(order_ms) + limit_ms,
             "status": delivery_status(F.col(order_ms), F.col(delivery_ms), limit_ms),
