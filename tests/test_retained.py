@@ -99,3 +99,39 @@ def test_accumulators_without_keys_and_with_null_keys(spark, monkeypatch):
         assert [tuple(r) for r in whole.collect()] == [(6.2,)]
     assert user.accumulate(df.limit(0), [], ["cents"], Mean(), "double").count() == 0
     assert user.accumulate(df.limit(0), ["k"], ["cents"], Mean(), "double").count() == 0
+
+
+@pytest.mark.parametrize("rows_per_chunk", [7, ROWS_PER_CHUNK])
+@pytest.mark.parametrize("lateness", [0, 3000])
+def test_panes_that_fire_again(spark, small_chunks, rows_per_chunk, lateness):  # noqa: F811
+    import random
+
+    from tidemark.operators.chunks import Fold
+    from tidemark.operators.eventtime import refired_panes
+    from tidemark.operators.windows import count_fold
+
+    rng = random.Random(5)
+    rows = [(i, max(0, i * 100 + rng.randrange(-6000, 300)), rng.choice("ab")) for i in range(400)]
+    due, panes, seen = [], defaultdict(list), None
+    fired = defaultdict(int)
+    for i, t, k in rows:
+        end = t // 1000 * 1000 + 1000
+        reached = None if seen is None else seen - 500
+        seen = t if seen is None else max(seen, t)
+        if reached is None or reached < end:
+            panes[k, end].append((i, False))
+        elif reached < end + lateness:
+            panes[k, end].append((i, True))
+            fired[k, end] += 1
+            ids = [x for x, _ in panes[k, end]]
+            due.append((k, end, fired[k, end], i, len(ids), sum(ids)))
+    for (k, end), found in panes.items():
+        ids = [x for x, late in found if not late]
+        if ids:
+            due.append((k, end, 0, None, len(ids), sum(ids)))
+    df = spark.createDataFrame(rows, "i long, t long, k string").repartition(3)  # noqa: F811
+    out = refired_panes(df, ["k"], ["i"], "t", 1000, 500, lateness, [count_fold(), Fold("ids", "sum", F.col("i"))],
+                        rows_per_chunk=rows_per_chunk)
+    got = [(r["k"], r["w_end"], r["firing"], r["i"], r["n"], r["ids"]) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(due, key=str)
+    assert any(f for _, _, f, *_ in due) == (lateness > 0)

@@ -309,6 +309,31 @@ def test_sinks(spark, static, stream, tmp_path):
     assert sinks.labelled(df, "x").first().label == "x"
 
 
+def test_a_replayed_batch_is_written_once(spark, tmp_path):
+    written, ledger = [], sinks.Ledger(spark, str(tmp_path / "ledger"))
+    broken = [True]
+
+    def second(rows, batch_id):
+        if broken[0] and batch_id == 1:
+            raise RuntimeError("the store is away")
+        written.append(("second", batch_id, rows.count()))
+
+    plan = {
+        "first": (lambda b: b, lambda rows: written.append(("first", rows.count()))),
+        "second": (lambda b: b.filter("id > 2"), second),
+        "folder": (lambda b: b, sinks.index_writer(str(tmp_path / "index"), "all", "parquet")),
+    }
+    write, batch = sinks.to_all(plan, ledger), spark.range(5)
+    write(batch, 0)
+    with pytest.raises(RuntimeError):
+        write(batch, 1)
+    broken[0] = False
+    for number in (1, 1, 0):  # a new run replays what the last one had not committed
+        sinks.to_all(plan, sinks.Ledger(spark, str(tmp_path / "ledger")))(batch, number)
+    assert written == [("first", 5), ("second", 0, 2), ("first", 5), ("second", 1, 2)]
+    assert spark.read.parquet(str(tmp_path / "index" / "all")).count() == 10
+
+
 def test_sql_insert(spark, tmp_path):
     users = readers.generated_table(spark, 500)
     users.createOrReplaceTempView("users_in")

@@ -11,7 +11,7 @@ from tidemark.functions import schemas
 from tidemark.plans.inputs import events, with_events
 from tidemark.plans.registry import report
 from tidemark.session import shared_folder
-from tidemark.sources.readers import decode_csv_value, generated_users, spread, table
+from tidemark.sources.readers import decode_csv_value, spread, table
 from tidemark.sources.sinks import insert_select as insert_into
 
 
@@ -127,39 +127,34 @@ def kafka_decode(spark, folder):
     return decode_csv_value(messages, schemas.USER_BEHAVIOR)
 
 
-_GENERATED = """g AS (
-  SELECT c_custkey AS id, ((c_custkey + 42) % 2147483647) * 48271 % 2147483647 AS s
-  FROM customer),
-u AS (
-  SELECT id, CAST(1 + s % 100 AS INTEGER) AS rating,
-         ((s + 1) % 2147483647) * 48271 % 2147483647 % 2 = 0 AS subscription
-  FROM g)"""
+_USERS = """u AS (
+  SELECT c_custkey AS id, CAST(c_nationkey AS INTEGER) AS rating,
+         CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS subscribed FROM customer)"""
 
 
-@report(
-    f"WITH {_GENERATED} SELECT id, rating, CAST(subscription AS INTEGER) AS subscribed FROM u"
-)
-def datagen_users(spark, folder):
-    """A generated user row for every customer key."""
-    ids = table(spark, folder, "customer").select("c_custkey")
-    return generated_users(ids, "c_custkey").select(
-        "id", "rating", F.col("subscription").cast("int").alias("subscribed")
+def _users(spark, folder):
+    """Customers as user rows: key, nation as rating, subscribed with a balance."""
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("int").alias("rating"),
+        F.when(F.col("c_acctbal") > 0, 1).otherwise(0).alias("subscribed"),
     )
 
 
-@report(
-    f"WITH {_GENERATED} SELECT rating, CAST(subscription AS INTEGER) AS subscribed FROM u"
-)
+@report(f"WITH {_USERS} SELECT id, rating, subscribed FROM u")
+def datagen_users(spark, folder):
+    """A user row for every customer."""
+    return _users(spark, folder)
+
+
+@report(f"WITH {_USERS} SELECT rating, subscribed FROM u")
 def insert_select(spark, folder):
-    """Two of three columns of the generated rows, inserted into a sink table."""
-    ids = table(spark, folder, "customer").select("c_custkey")
-    users = generated_users(ids, "c_custkey").withColumn(
-        "subscribed", F.col("subscription").cast("int")
-    )
+    """Two of three columns of the user rows, inserted into a sink table."""
     name = f"user_output_{uuid.uuid4().hex[:12]}"
-    users.createOrReplaceTempView(f"source_of_{name}")
+    _users(spark, folder).createOrReplaceTempView(f"source_of_{name}")
     location = f"{shared_folder(spark)}/{name}"
     spark.sql(
         f"CREATE TABLE {name} (rating INT, subscribed INT) USING parquet LOCATION '{location}'"
     )
-    return insert_into(spark, name, f"source_of_{name}", ["rating", "subscribed"])
+    found = insert_into(spark, name, f"source_of_{name}", ["rating", "subscribed"])
+    spark.catalog.dropTempView(f"source_of_{name}")
+    return found

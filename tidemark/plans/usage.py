@@ -11,6 +11,8 @@ from tidemark.operators import windows as W
 from tidemark.operators.chunks import Fold
 from tidemark.plans.inputs import DAY, HOUR, MINUTE, ORDER, events, pane, with_events
 from tidemark.plans.registry import report
+from tidemark.session import cut_lineage
+from tidemark.sources.sinks import labelled
 
 REST = "Sleep"
 REST_MARK = "Screen"
@@ -255,3 +257,27 @@ def rest_mean_start(spark, folder):
 )
 def rest_by_weekday(spark, folder):
     return mean_hours_by_weekday(_event_rest(spark, folder))
+
+
+@report(
+    with_events(
+        f"""SELECT 'hours' AS output, NULL AS weekday, {_PANES},
+  CAST(sum(d) AS BIGINT) / (count(*) * CAST(3600000 AS DOUBLE)) AS mean_hours, NULL AS mean_start FROM q GROUP BY ALL
+UNION ALL SELECT 'start', NULL, w_start, w_end, NULL,
+  strftime(make_timestamp(CAST(s // n AS BIGINT) * 1000000), '%H:%M:%S')
+FROM (SELECT {_PANES}, sum(c) AS s, count(*) AS n FROM q GROUP BY ALL) t
+UNION ALL SELECT 'weekday', upper(dayname(make_timestamp(ms * 1000))) AS weekday, {_PANES},
+  CAST(sum(d) AS BIGINT) / (count(*) * CAST(3600000 AS DOUBLE)), NULL FROM q GROUP BY ALL""",
+        *_REST,
+        recursive=True,
+    )
+)
+def rest_outputs(spark, folder):
+    """The whole analysis once, and its three outputs from what it found."""
+    rest = cut_lineage(_event_rest(spark, folder))
+    outputs = {"hours": mean_hours(rest), "start": mean_start(rest), "weekday": mean_hours_by_weekday(rest)}
+    hours, start, weekday = (labelled(df, name) for name, df in outputs.items())
+    together = hours.unionByName(start, allowMissingColumns=True).unionByName(weekday, allowMissingColumns=True)
+    return together.select(
+        F.col("label").alias("output"), "weekday", "w_start", "w_end", "mean_hours", "mean_start"
+    )

@@ -8,7 +8,7 @@ from tidemark.functions.scalars import fahrenheit_to_celsius
 from tidemark.functions.user import Accumulator, accumulate
 from tidemark.operators import windows as W
 from tidemark.operators.chunks import Fold
-from tidemark.operators.eventtime import side_output, split_late, with_lateness
+from tidemark.operators.eventtime import refired_panes, side_output, split_late, with_lateness
 from tidemark.plans.inputs import (
     DAY, HOUR, MINUTE, ORDER, events, pane, with_events,
 )
@@ -266,6 +266,34 @@ def late_split_counts(spark, folder):
     )
 
 
+_KEPT = f"""l AS (SELECT *, coalesce(w_end <= reached, false) AS late,
+    count(*) OVER w AS n, CAST(sum(user_id) OVER w AS BIGINT) AS users
+  FROM m WHERE coalesce(reached < w_end + {20 * MINUTE}, true)
+  WINDOW w AS (PARTITION BY w_start ORDER BY {_ARRIVAL}, event_id ROWS UNBOUNDED PRECEDING))"""
+
+
+@report(
+    with_events(
+        f"""SELECT NULL AS event_id, w_start, w_end, 0 AS firing, max(n) AS n, max(users) AS users
+FROM l WHERE NOT late GROUP BY w_start, w_end
+UNION ALL SELECT event_id, w_start, w_end, row_number() OVER (
+  PARTITION BY w_start ORDER BY {_ARRIVAL}, event_id) AS firing, n, users FROM l WHERE late""",
+        _LATE,
+        _KEPT,
+    )
+)
+def late_refired(spark, folder):
+    """Hours fire at their end, and again for every row up to 20 minutes late."""
+    rows = events(spark, folder).select("event_id", "ms", "user_id")
+    delay = F.pmod(F.col("event_id") * 7919, F.lit(13)) * (5 * MINUTE)
+    folds = [W.count_fold(), Fold("users", "sum", F.col("user_id"))]
+    fired = refired_panes(
+        rows.withColumn("arrival", F.col("ms") + delay), [], ["arrival", "event_id"], "ms",
+        HOUR, 10 * MINUTE, 20 * MINUTE, folds,
+    )
+    return fired.select("event_id", "w_start", "w_end", "firing", "n", "users")
+
+
 class MeanValue(Accumulator):
     """Sum and number, merged and divided at the end."""
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-Write = Callable[[DataFrame], None]
+Write = Callable[[DataFrame], None] | Callable[[DataFrame, int], None]
 
 
 def labelled(df: DataFrame, label: str) -> DataFrame:
@@ -34,18 +35,53 @@ def print_stream(
     return writer.trigger(**pace).start()
 
 
-def to_all(sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], Write]]):
+class Ledger:
+    """Which sink has written which batch: an empty file for each, in a folder that outlives the driver.
+
+    A sink's entry follows its write, so a batch that is replayed is written again
+    only to the sink that was at it when the run ended. A sink that takes the
+    number of the batch can write over what it had begun.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _file(self, sink: str, batch_id: int):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{sink}/batch={batch_id}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def has(self, sink: str, batch_id: int) -> bool:
+        store, path = self._file(sink, batch_id)
+        return store.exists(path)
+
+    def add(self, sink: str, batch_id: int) -> None:
+        store, path = self._file(sink, batch_id)
+        store.create(path, True).close()
+
+
+def to_all(
+    sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], Write]], ledger: Ledger | None = None,
+):
     """A ``foreachBatch`` function that feeds several sinks from one read.
 
     Each entry derives its own rows from the batch; the batch is kept so that
-    it is computed once.
+    it is computed once. A sink is a function of the rows, or of the rows and the
+    number of the batch. With a ``ledger`` a replayed batch goes only to the sinks
+    that have not written it.
     """
+    numbered = {name: len(signature(sink).parameters) > 1 for name, (_, sink) in sinks.items()}
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        due = [name for name in sinks if ledger is None or not ledger.has(name, batch_id)]
+        if not due:
+            return
         batch.persist()
         try:
-            for derive, sink in sinks.values():
-                sink(derive(batch))
+            for name in due:
+                derive, sink = sinks[name]
+                sink(derive(batch), *([batch_id] if numbered[name] else []))
+                if ledger is not None:
+                    ledger.add(name, batch_id)
         finally:
             batch.unpersist()
 
