@@ -1,6 +1,7 @@
 """User functions, and the session helpers."""
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark import session
@@ -45,6 +46,18 @@ def test_functions(spark):
     assert twice.count() == 4
 
 
+def test_expand_gives_any_number_of_rows(spark):
+    df = spark.createDataFrame([(1, "ab", None), (2, "", "x"), (3, None, "y"), (4, "c", "z")], "n int, t string, other string")
+
+    def letters(texts):
+        found = [(i, c) for i, t in enumerate(texts.to_pylist()) for c in t or ""]
+        return [i for i, _ in found], pa.RecordBatch.from_pydict({"c": pa.array([c for _, c in found], pa.string())})
+
+    out = user.expand(df, ["t"], letters, "c string")
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, "ab", None, "a"), (1, "ab", None, "b"), (4, "c", "z", "c")]
+    assert user.expand(df.limit(0), ["t"], letters, "c string").count() == 0
+
+
 def test_shared_folder_is_that_of_the_session(spark):
     configured = spark.sparkContext.getCheckpointDir()
     assert session.shared_folder(spark) == configured

@@ -38,6 +38,32 @@ def flat_map(df: DataFrame, items: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(items).alias(name))
 
 
+def expand(
+    df: DataFrame, inputs: Sequence[str],
+    function: Callable[..., tuple[Sequence[int], pa.RecordBatch]], outputs: str,
+) -> DataFrame:
+    """Any number of output rows per row, beside the columns of the row.
+
+    ``function`` gets the input columns of a batch as Arrow arrays, and returns
+    for every output row the number of its row in the batch, and the new columns,
+    which ``outputs`` declares. For row expansions that no expression gives; a
+    batch is expanded at once, and nothing is shuffled. (A table function in
+    Arrow cannot be joined laterally.)
+    """
+    added = T.StructType.fromDDL(outputs)
+    schema = T.StructType([*df.schema.fields, *added.fields])
+    kinds = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in added.fields])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = function(*[batch.column(c) for c in inputs])
+            kept = batch.take(pa.array(rows, pa.int64()))
+            new = [found.column(f.name).cast(f.type) for f in kinds]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*batch.schema.names, *kinds.names])
+
+    return df.mapInArrow(apply, schema)
+
+
 def map_values(function: Callable[[pd.Series], pd.Series], kind: str | T.DataType):
     """A vectorised column function."""
     return F.pandas_udf(function, kind)

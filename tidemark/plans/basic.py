@@ -1,13 +1,16 @@
-"""Filters, projections, tokens, message decoding, generated rows, SQL insert."""
+"""Filters, projections, tokens, message decoding, user rows, SQL insert."""
 
 from __future__ import annotations
 
+import re
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.functions import schemas
+from tidemark.functions.user import expand
 from tidemark.plans.inputs import events, with_events
 from tidemark.plans.registry import report
 from tidemark.session import shared_folder
@@ -111,6 +114,32 @@ def token_counts(spark, folder):
     )
 
 
+def _long_words(texts: pa.Array) -> tuple[list[int], pa.RecordBatch]:
+    """Place and text of every long word; expressions give matches, but not their places."""
+    found = [
+        (row, m.start(), m.group())
+        for row, text in enumerate(texts.to_pylist()) if text
+        for m in re.finditer("[a-z0-9_]{12,}", text.lower())
+    ]
+    rows, starts, words = zip(*found) if found else ((), (), ())
+    columns = {"start": pa.array(starts, pa.int32()), "word": pa.array(words, pa.string())}
+    return list(rows), pa.RecordBatch.from_pydict(columns)
+
+
+@report(
+    """WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9_]+|[^a-z0-9_]+') AS parts FROM documents),
+p AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM t),
+s AS (SELECT *, coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM p)
+SELECT doc_id, CAST(start AS INTEGER) AS start, part AS word FROM s
+WHERE length(part) >= 12 AND regexp_matches(part, '^[a-z0-9_]')"""
+)
+def long_word_places(spark, folder):
+    """Every long word of the documents with its place, by a user's row expansion."""
+    texts = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return expand(texts, ["text"], _long_words, "start int, word string").select("doc_id", "start", "word")
+
+
 @report(
     with_events(
         """SELECT CAST(user_id AS INTEGER) AS user_id, CAST(event_id AS INTEGER) AS item_id,
