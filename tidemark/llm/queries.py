@@ -252,7 +252,45 @@ def op11_align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
 LICENSE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 
-@query()
+def _license_sql() -> str:
+    """Every block of every text against every template of its step, without filters."""
+    import math
+
+    from tidemark.llm.licenses import SHORTEST, TEMPLATES, words_of
+
+    rows = []
+    for label, text in TEMPLATES:
+        words = [w.decode() for w in words_of(text)]
+        step = max(SHORTEST, 1 << (len(words) - 1).bit_length())
+        rows.append((label, sorted(set(words)), step, math.ceil(0.9 * len(set(words)) - 1e-9)))
+    templates = ", ".join(f"('{label}', {whole}, {step}, {need})" for label, whole, step, need in rows)
+    phrases = ", ".join(f"({text.split()}, '{label}')" for text, label in LICENSE_PHRASES)
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t(label, whole, step, need) AS (VALUES {templates}),
+p(words, label) AS (VALUES {phrases}),
+i AS (SELECT r, w, unnest(range(len(w))) AS pos FROM d),
+b AS (SELECT r, pos, label FROM i, p WHERE w[pos + 1] = words[1] AND w[pos + 1:pos + len(words)] = words),
+s AS (SELECT r, w[pos + 1:pos + 2 * step] AS block, step FROM i, (SELECT DISTINCT step FROM t) x WHERE pos % step = 0),
+m AS (
+  SELECT r, label, len(list_intersect(whole, block))::DOUBLE / len(whole) AS share
+  FROM s JOIN t ON s.step = t.step WHERE len(list_intersect(whole, block)) >= need),
+l AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT r, label, share FROM m UNION ALL SELECT r, label, 1.0 FROM b) x GROUP BY r),
+n AS (
+  SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN l ON d.r = l.r LEFT JOIN n ON d.r = n.r"""
+
+
+@query(_license_sql())
 def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     from tidemark.llm.licenses import scan
 
