@@ -91,6 +91,18 @@ def test_urls_that_are_no_urls(spark):
     assert urls.judge(df.limit(0), listed.limit(0), []).count() == 0
 
 
+def test_listed_rows_keep_columns_of_any_name(spark):
+    rows = [(i, k, "mine", "too", "x") for i, k in enumerate(["a", None, "b", "a", "h" * 100_000])]
+    df = spark.createDataFrame(rows, "id long, key string, listed string, block string, row string")
+    listed = spark.createDataFrame([("a",), ("a",), (None,), ("h" * 100_000,)], "listed string")
+    found = urls.listed_rows(df, "key", listed, "listed")
+    assert found.columns == [*df.columns, "listed_"]
+    assert sorted((r["id"], r["listed"], r["block"], r["row"], r["listed_"]) for r in found.collect()) == [
+        (i, "mine", "too", "x", i in (0, 3, 4)) for i in range(5)]
+    assert urls.listed_rows(df.limit(0), "key", listed, "listed").count() == 0
+    assert urls.listed_rows(df, "key", listed.limit(0), "listed").filter("listed_").count() == 0
+
+
 def test_near_copies_with_ids_that_repeat_or_are_null(spark):
     import corpus_pipeline as pipeline
 

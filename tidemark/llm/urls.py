@@ -112,8 +112,13 @@ def bloom(listed: DataFrame, key: str, most_blocks: int = MOST_BLOCKS) -> Bloom:
 def listed_rows(rows: DataFrame, key: str, listed: DataFrame, listed_key: str, most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """Add ``listed`` to every row: is its key in the list? A null key is not.
 
-    The list may have repeats and nulls.
+    The list may have repeats and nulls. If the rows have a column of that name it
+    stays, and underscores are put after the new one's name until it is free. An
+    empty table or an empty list is no special case.
     """
+    name = "listed"
+    while name in rows.columns:
+        name += "_"
     # Written once: it is counted, made into the filter and joined.
     keys = cut_lineage(listed.select(F.col(listed_key).alias("__key")).filter("__key is not null").distinct())
     found = bloom(keys, "__key", most_blocks)
@@ -135,8 +140,8 @@ def listed_rows(rows: DataFrame, key: str, listed: DataFrame, listed_key: str, m
     hits = probed.filter("hit").select("row", F.col("row")[key].alias("__key"))
     sure = hits.join(keys.withColumn("__listed", F.lit(True)), "__key", "left")
     return (
-        probed.filter("not hit").select("row.*", F.lit(False).alias("listed"))
-        .unionByName(sure.select("row.*", F.coalesce("__listed", F.lit(False)).alias("listed")))
+        probed.filter("not hit").select("row.*", F.lit(False).alias(name))
+        .unionByName(sure.select("row.*", F.coalesce("__listed", F.lit(False)).alias(name)))
     )
 
 
