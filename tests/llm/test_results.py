@@ -67,6 +67,20 @@ def test_scripts_narrow_languages(spark):
     assert model.score(["щщщ"])[0][model.languages.index("en")] == -np.inf
 
 
+def test_scripts_of_all_letters_of_a_word(spark):
+    texts = [("абвгдежзhello", "xx"), ("привет мир как дела", "ru"), ("hello world how are you", "en")]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(texts * 20)]
+    model = language.train(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    en, ru, xx = (model.languages.index(x) for x in ("en", "ru", "xx"))
+    latin, cyrillic, mixed, unknown = model.score(["hello", "привет", "абвhello", "日本"])
+    assert latin[en] > -np.inf and latin[xx] > -np.inf and latin[ru] == -np.inf
+    assert cyrillic[ru] > -np.inf and cyrillic[xx] > -np.inf and cyrillic[en] == -np.inf
+    assert mixed[xx] > -np.inf and mixed[en] == mixed[ru] == -np.inf
+    assert (unknown > -np.inf).all()
+    two = language.Model(("en", "ru"), model.weights[:, [en, ru]], model.scripts[:, [en, ru]], model.sizes, model.switch)
+    assert (two.score(["абвhello"]) > -np.inf).all()  # no language has both: both stay open
+
+
 def test_tokens_equal_the_library(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     assert pieces.by_words(library)

@@ -2,7 +2,7 @@
 
 Training counts, per language, hashed character n-grams of words and the
 scripts of its letters, on a bounded sample of labelled texts. To label a text,
-the script of a word narrows the languages that come into question, each of
+the scripts of all letters of a word narrow the languages that come into question, each of
 them scores the word, and Viterbi over the words with a penalty for switching
 gives spans of one language. The language with the most letters in its spans is
 the text's, and its share of the letters is the score.
@@ -44,7 +44,7 @@ SCRIPT_RANGES = (
 )
 _FIRSTS = [first for first, _ in SCRIPT_RANGES]
 SCRIPTS = tuple(dict.fromkeys(name for _, name in SCRIPT_RANGES))
-_OTHER = SCRIPTS.index("other")
+_SCRIPT_OF = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
 
 _RUN = re.compile(r"[^\W\d_]+")
 
@@ -53,6 +53,15 @@ def script(letter: str) -> int:
     return SCRIPTS.index(SCRIPT_RANGES[bisect_right(_FIRSTS, ord(letter)) - 1][1])
 
 
+def scripts_of(words: list[str]) -> np.ndarray:
+    """Which scripts each word has, over all its letters: words x scripts."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+    found = np.zeros((len(words), len(SCRIPTS)), bool)
+    found[owner, _SCRIPT_OF[np.searchsorted(_FIRSTS, codes, side="right") - 1]] = True
+    return found
+
+
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower-cased; combining marks end a run."""
     return _RUN.findall(text.lower())
@@ -114,9 +123,12 @@ class Model:
             stops = np.cumsum(counts)
             total += sums[stops] - sums[stops - counts]
         total /= len(self.sizes)
-        first = (next((c for c in w if c.isalpha()), None) for w in words)
-        of = np.array([_OTHER if c is None else script(c) for c in first])
-        open_to = self.scripts[of]
+        # Scripts that no language uses tell nothing. Of the others, a language should
+        # use all that a word has; if none does, those that use one of them stay open.
+        found = scripts_of(words) & self.scripts.any(axis=1)
+        used = found.astype(np.int64) @ self.scripts.astype(np.int64)
+        every = used == np.maximum(found.sum(axis=1, keepdims=True), 1)
+        open_to = np.where(every.any(axis=1, keepdims=True), every, used > 0)
         narrowed = open_to.any(axis=1, keepdims=True) & ~open_to
         return np.where(narrowed, -np.inf, total).astype(np.float32)
 
@@ -164,7 +176,7 @@ def train(
                 times = np.array([1 + n.bit_length() for n in told.values()])
                 for bucket, each in grams(list(told), sizes, buckets):
                     held += np.bincount(bucket, np.repeat(times, each), buckets).astype(np.int64)
-                used.update(script(c) for w in told for c in w[:8] if c.isalpha())
+                used.update(script(c) for w in told for c in w if c.isalpha())
         for name, held in seen.items():
             at = np.flatnonzero(held)
             more = sorted(scripts[name])
@@ -284,7 +296,13 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
 
 def spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, start, stop, lang): runs of words of one language, by number of word."""
+    """(key, start, stop, lang): runs of words of one language, by number of word.
+
+    Null and empty texts, those without letters, and a model without languages
+    give no spans. Rows that repeat give theirs each; ids may be null. Equal paths
+    go to the first language by name. An empty table gives none; other columns
+    take no part.
+    """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
