@@ -99,14 +99,16 @@ class Listed(PerRecord):
         self.cell = handle.getListState("items", f"v {self.kind}")
 
     def load(self):
+        self.added = []
         return [v[0] for v in self.cell.get()] if self.cell.exists() else []
 
     def step(self, state, row):
-        state = [*state, row[self.value]]
+        self.added.append((row[self.value],))
+        state.append(row[self.value])
         return state, [(*row, self.separator.join(str(v) for v in state))]
 
     def save(self, state) -> None:
-        self.cell.put([(v,) for v in state])
+        self.cell.appendList(self.added)
 
 
 class MapCount(PerRecord):
