@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -223,6 +224,45 @@ def test_passages_against_brute_force(spark):
         assert found == brute_passages(docs)
 
 
+def test_passages_of_pieces_in_many_contexts(spark):
+    """One line of nine words between lines that vary, so that a piece is in far more than ``SHARED`` passages."""
+    line = " ".join(f"w{i}" for i in range(9))
+    around = [" ".join(f"c{k}x{i}" for i in range(5)) for k in range(60)]
+    docs = [(i, " ".join([around[i % 60], line, around[(i * 7 + i // 60) % 60], line, "a " * 30])) for i in range(300)]
+    found = passages.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: tuple(r)[1:] for r in found.collect()} == brute_passages(docs)
+
+
+def test_passages_come_from_the_automata(monkeypatch):
+    text = " ".join(f"w{i}" for i in range(20))
+    held = passages._Bucket(pa.table({"doc_id": [1, 2], "text": [text, "x " + text]}))
+    window = passages._runs(held.hashes[0], 13)
+    order = np.argsort(window)
+    first = np.full(len(window), 1)
+
+    def removed():
+        return [int(m.sum()) for m in passages._covered(held, window[order], first, 13, 100)]
+
+    assert removed() == [0, 20]
+    # Words that differ are not covered, though a window's hash is listed.
+    held.hashes[1][1:] = held.hashes[0]
+    held.words[1][10] = b"other"
+    held.distinct = {w: 0 for w in {*held.words[0], *held.words[1]}}
+    assert removed() == [0, 0]
+    monkeypatch.setattr(passages, "_batches", lambda *a: iter(()))
+    held.words[1][10] = b"w9"
+    assert removed() == [0, 0]
+
+
+def test_passages_with_rows_of_one_id_in_many_buckets(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None if i % 2 else 7, f"{i} {text} {i}") for i in range(40)]
+    df = spark.createDataFrame([*rows, (9, text)], "doc_id long, text string")
+    found = passages.remove_repeats(df, bucket_bytes=500).collect()
+    assert len(found) == 41
+    assert all(r["n_removed"] == (0 if r["doc_id"] == 7 else 40) for r in found)
+
+
 def test_exact_with_colliding_digests_and_small_batches(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
     weak = exact.deduplicate(docs.repartition(5), digest=lambda t: F.unhex(F.hex(F.crc32(t) % 7)), files_per_batch=1)
