@@ -1,5 +1,7 @@
 """Sessions of a stream in two steps against the sessions of the table."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from tests.test_streaming import drain, write_as_files
 from tidemark.operators import windows as W
 from tidemark.operators.chunks import Fold
 from tidemark.plans.inputs import HOUR, MINUTE, events
-from tidemark.sources import readers
+from tidemark.sources import readers, sinks
 from tidemark.streaming import sessions as S
 
 
@@ -54,3 +56,27 @@ def test_touching_rows_null_times_and_null_keys(spark, tmp_path):
 def test_ordered_folds_are_refused(spark, folder):
     with pytest.raises(ValueError):
         S.sessions(events(spark, folder), [], "ts", 1000, [Fold("all", "list", F.col("cents"))])
+
+
+def test_tables_without_rows_give_streams_without_rows(spark, folder, tmp_path):
+    whole = readers.table(spark, folder, "events")
+    whole.limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    streamed = readers.whole_stream(spark, str(tmp_path), "events").withWatermark("ts", "0 seconds")
+    assert sinks.drained(S.sessions(streamed, [], "ts", 1000)).count() == 0
+
+
+def test_micro_batches_at_an_interval(spark, folder, tmp_path):
+    streamed = readers.whole_stream(spark, folder, "events").withWatermark("ts", "0 seconds")
+    panes = W.stream_panes(streamed, [], "ts", "1 hour").agg(F.count("*").alias("n")).select(*W.pane_bounds(), "n")
+    query = sinks.print_stream(panes, str(tmp_path / "log"), "paced_panes", sink="memory", every="200 milliseconds")
+    try:
+        end = time.monotonic() + 60
+        while not spark.table("paced_panes").count() and time.monotonic() < end:
+            time.sleep(0.2)
+        rows = events(spark, folder)
+        last = rows.agg(F.max("ms")).first()[0]
+        static = {tuple(r) for r in W.aggregate_tumbling(rows, [], "ms", HOUR, [W.count_fold()]).collect()}
+        assert {tuple(r) for r in spark.table("paced_panes").collect()} == {r for r in static if r[1] <= last}
+        assert query.isActive  # waits for the next interval
+    finally:
+        query.stop()

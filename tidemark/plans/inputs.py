@@ -19,7 +19,11 @@ STORES = 5
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Events with time in milliseconds and value in whole cents."""
-    return table(spark, folder, "events").select(
+    return as_events(table(spark, folder, "events"))
+
+
+def as_events(df: DataFrame) -> DataFrame:
+    return df.select(
         "event_id",
         F.unix_millis("ts").alias("ms"),
         "user_id",

@@ -32,6 +32,7 @@ def load_all() -> tuple[dict[str, Report], dict[str, str]]:
         pairs,
         rolling,
         states,
+        streams,
         triggers,
         usage,
         windows,

@@ -45,6 +45,15 @@ def table_stream(
     return with_instants(stream)
 
 
+def whole_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream of one micro-batch: order and watermark do not depend on how its files are cut."""
+    use_utc(spark)
+    path = f"{folder}/{name}.parquet"
+    # A table may be a single file, which the stream source takes only by a pattern.
+    pattern = f"{folder}/{name}.parque[t]"
+    return with_instants(spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern))
+
+
 def rows(
     spark: SparkSession, data: Iterable[Sequence], schema: T.StructType
 ) -> DataFrame:

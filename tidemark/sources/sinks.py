@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from inspect import signature
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import shared_folder
+
 Write = Callable[[DataFrame], None] | Callable[[DataFrame, int], None]
 
 
@@ -111,6 +114,21 @@ def index_writer(folder: str, index: str, file_format: str = "json"):
     return write
 
 
+def drained(df: DataFrame, mode: str = "append") -> DataFrame:
+    """What a stream gives for all that is in its sources now, as a table in the shared folder."""
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/drained-{uuid.uuid4().hex}"
+    write = index_writer(folder, "rows", "parquet")
+    write(spark.createDataFrame([], df.schema), -1)  # a source may have nothing at all
+    query = (
+        df.writeStream.foreachBatch(write).outputMode(mode)
+        .option("checkpointLocation", f"{folder}/log")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{folder}/rows").select(df.columns)
+
+
 def insert_select(
     spark: SparkSession, target: str, source: str, columns: Sequence[str],
     overwrite: bool = False,
