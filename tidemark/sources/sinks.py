@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.session import shared_folder
+from tidemark.session import keyed_state, shared_folder
 
 Write = Callable[[DataFrame], None] | Callable[[DataFrame, int], None]
 
@@ -120,11 +120,12 @@ def drained(df: DataFrame, mode: str = "append") -> DataFrame:
     folder = f"{shared_folder(spark)}/drained-{uuid.uuid4().hex}"
     write = index_writer(folder, "rows", "parquet")
     write(spark.createDataFrame([], df.schema), -1)  # a source may have nothing at all
-    query = (
-        df.writeStream.foreachBatch(write).outputMode(mode)
-        .option("checkpointLocation", f"{folder}/log")
-        .trigger(availableNow=True).start()
-    )
+    with keyed_state(spark):
+        query = (
+            df.writeStream.foreachBatch(write).outputMode(mode)
+            .option("checkpointLocation", f"{folder}/log")
+            .trigger(availableNow=True).start()
+        )
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/rows").select(df.columns)
 
