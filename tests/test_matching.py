@@ -76,3 +76,22 @@ def test_stream_with_expiry_equals_the_table(spark, tmp_path, rows):
         streamed = P.match_deliveries(left, right, "o", "d", "order_ms", "delivery_ms", 30, expire, "10 seconds")
         batch = joins.match_deliveries(orders, deliveries, "o", "d", "order_ms", "delivery_ms", 30, expire_ms=expire)
         assert same(drain(streamed, "append" if expire else "update"), batch.withColumnRenamed("o", "id"), *columns)
+
+
+def test_state_of_a_stream_is_kept_by_bucket(spark, tmp_path, rows, monkeypatch):
+    """Cells and timers are as many as buckets, not as ids; rows without a time match nothing."""
+    monkeypatch.setattr(P, "BUCKETS", 4)
+    orders, deliveries = tables(spark, rows)
+    times = spark.createDataFrame([*rows, (2, None, 0), (61, None, 0), (61, None, 1)], "id long, t long, side int")
+    write_as_files(times, tmp_path / "both", order="t")
+    source = [readers.table_stream(spark, str(tmp_path / "both"), times.schema).filter(f"side = {i}") for i in (0, 1)]
+    left, right = (s.select(F.col("id").alias(i), F.col("t").alias(t)) for s, i, t in zip(source, "od", ("order_ms", "delivery_ms")))
+    streamed = P.match_deliveries(left, right, "o", "d", "order_ms", "delivery_ms", 30, 500, "10 seconds")
+    query = streamed.writeStream.format("memory").queryName("by_bucket").trigger(availableNow=True).start()
+    query.awaitTermination()
+    states = [p.stateOperators[0] for p in query.recentProgress if p.stateOperators]
+    timers = [s.customMetrics["numRegisteredTimers"] for s in states]
+    assert 0 < max(timers) <= 4
+    batch = joins.match_deliveries(orders, deliveries, "o", "d", "order_ms", "delivery_ms", 30, expire_ms=500)
+    columns = ["id", "order_ms", "delivery_ms", "status"]
+    assert same(spark.table("by_bucket"), batch.withColumnRenamed("o", "id"), *columns)

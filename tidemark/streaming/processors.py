@@ -10,7 +10,9 @@ per key and micro-batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from operator import itemgetter
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -293,22 +295,34 @@ class Peak(ValuePerRecord):
         return state, [state] if seen + 1 >= n else []
 
 
-class TwoInputs(ValuePerRecord):
+class TwoInputs(StatefulProcessor):
     """Rows of two inputs of a key, in the order of their event times.
 
-    Subclasses give ``left`` and ``right``: (state, row) to (state, emitted rows).
+    Subclasses give ``left`` and ``right``: (state, row) to (state, emitted rows),
+    where a row is a dictionary of the keys, the time, the side and what ``reads``
+    names besides. None of these may be null.
     With ``expire_ms`` a state is forgotten so long after the row that set it, as
     of the times of later rows of the key, and by a timer when the watermark has
     passed, so that keys of which nothing more comes leave the state store.
+
+    The states of a bucket of keys lie in one cell and share a timer, set to the
+    earliest of their ends: calls of the state store are per bucket, not per key.
     """
 
-    def __init__(self, state_schema: str, time: str, side: str, expire_ms: int | None = None):
-        super().__init__([time, side], f"{state_schema}, set_ms bigint")
-        self.time, self.side, self.expire_ms = time, side, expire_ms
+    def __init__(self, state_schema: str, time: str, side: str, expire_ms: int | None = None, reads: Sequence[str] = ()):
+        self.time, self.side, self.expire_ms, self.reads = time, side, expire_ms, list(reads)
+        self.state_schema = T.StructType.fromDDL(f"{state_schema}, set_ms bigint")
+        self.output: list[str] = []  # column names of what left and right emit
+
+    def keyed(self, keys: Sequence[str], schema: T.StructType) -> None:
+        """Names of the key columns, and the schema of the united inputs, before the query starts."""
+        self.keys, self.columns = list(keys), schema.names
+        kinds = [f.dataType for f in (*[schema[k] for k in keys], *self.state_schema)]
+        self.cell_schema = T.StructType([T.StructField(f"c{i}", T.ArrayType(t)) for i, t in enumerate(kinds)])
 
     def init(self, handle) -> None:
-        super().init(handle)
         self.handle = handle
+        self.cell = handle.getValueState("cell", self.cell_schema)
 
     def left(self, state, row):
         raise NotImplementedError
@@ -316,26 +330,64 @@ class TwoInputs(ValuePerRecord):
     def right(self, state, row):
         raise NotImplementedError
 
-    def step(self, state, row):
-        now = row[self.time]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = list(dict.fromkeys([self.time, self.side, *self.keys, *self.reads]))
+        at = [self.columns.index(c) for c in names]  # frames may have other names
+        given = [r for frame in rows for r in zip(*[frame.iloc[:, i].tolist() for i in at])]
+        given.sort(key=itemgetter(0, 1))
+        states = self.load()
+        emitted = [e for r in given for e in self.step(states, dict(zip(names, r)))]
+        self.save(states)
+        self.remind(states)
+        if emitted:
+            yield pd.DataFrame(emitted, columns=self.output, dtype=object)
+
+    def step(self, states, row):
+        key, now = tuple([row[k] for k in self.keys]), row[self.time]
+        state = states.pop(key, None)
         if state is not None and self.expire_ms is not None and now - state[-1] >= self.expire_ms:
             state = None
         given = state[:-1] if state is not None else None
         state, found = (self.right if row[self.side] else self.left)(given, row)
-        return None if state is None else (*state, now), found
+        if state is not None:
+            states[key] = (*state, now)
+        return found
 
-    def save(self, state) -> None:
-        super().save(state)
-        if self.expire_ms is not None:
-            for timer in list(self.handle.listTimers()):
+    def load(self):
+        columns = self.cell.get() if self.cell.exists() else ()
+        n = len(self.keys)
+        return {entry[:n]: entry[n:] for entry in zip(*columns)}
+
+    def save(self, states) -> None:
+        if states:
+            columns = zip(*[(*key, *state) for key, state in states.items()])
+            self.cell.update(tuple(list(c) for c in columns))
+        else:
+            self.cell.clear()
+
+    def remind(self, states) -> None:
+        """One timer, when the first of the states ends."""
+        if self.expire_ms is None:
+            return
+        due = min(state[-1] for state in states.values()) + self.expire_ms if states else None
+        timers = list(self.handle.listTimers())
+        for timer in timers:
+            if timer != due:
                 self.handle.deleteTimer(timer)
-            if state is not None:
-                self.handle.registerTimer(state[-1] + self.expire_ms)
+        if due is not None and due not in timers:
+            self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.cell.clear()
+        reached = timerValues.getCurrentWatermarkInMs() - self.expire_ms
+        states = {k: s for k, s in self.load().items() if s[-1] > reached}
+        self.save(states)
+        if states:  # the timer that went off goes by itself
+            self.handle.registerTimer(min(s[-1] for s in states.values()) + self.expire_ms)
         return iter(())
 
+    def close(self) -> None:
+        pass
+
 
 class Match(TwoInputs):
     """One order and one delivery of a key, whichever comes first is kept."""
@@ -465,15 +517,29 @@ def dynamic_peak(panes, keys, start="w_start", end="w_end", count="n") -> DataFr
     return _apply(panes, keys, Peak([start], start, end, count), schema)
 
 
+# Groups of keys whose states lie together: many for each shuffle partition, few rows in each.
+BUCKETS = 8192
+
+
 def two_inputs(
     left: DataFrame, right: DataFrame, keys: Sequence[str], processor: TwoInputs, schema: T.StructType,
 ) -> DataFrame:
     """Apply a processor of two inputs to streams of equal columns, tagged and united.
 
     Either side may come first. Expiry needs a watermark on the united streams.
+    ``BUCKETS`` must stay as it is while a checkpoint is in use.
     """
     tagged = left.withColumn(processor.side, F.lit(0)).unionByName(right.withColumn(processor.side, F.lit(1)))
-    return _apply(tagged, keys, processor, schema, "EventTime" if processor.expire_ms is not None else "None")
+    processor.keyed(keys, tagged.schema)
+    processor.output = schema.names
+    expires = processor.expire_ms is not None
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    return tagged.withColumn("__bucket", bucket).groupBy("__bucket").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=schema,
+        outputMode="Append" if expires else "Update",
+        timeMode="EventTime" if expires else "None",
+    )
 
 
 def match_deliveries(
@@ -483,10 +549,12 @@ def match_deliveries(
     """Twin of ``joins.match_deliveries``, without the running numbers of the classes.
 
     Rows of a key are taken by time within a micro-batch, and as they come from
-    one to the next. With ``expire_ms``, watermarks follow by ``delay``.
+    one to the next. Rows without a time match nothing, as those without an id.
+    With ``expire_ms``, watermarks follow by ``delay``.
     """
     sides = [
-        df.select(F.col(key).alias("id"), F.col(at).cast("bigint").alias("__t")).filter("id is not null")
+        df.select(F.col(key).alias("id"), F.col(at).cast("bigint").alias("__t"))
+        .filter("id is not null and __t is not null")
         for df, key, at in ((orders, order_id, order_ms), (deliveries, delivery_order_id, delivery_ms))
     ]
     if expire_ms is not None:
