@@ -63,3 +63,21 @@ def test_shared_folder_is_that_of_the_session(spark):
     assert session.shared_folder(spark) == configured
     cut = session.cut_lineage(spark.range(3))
     assert cut.count() == 3 and "Range" not in cut._jdf.queryExecution().toString()
+
+
+def test_expand_repeats_no_long_inputs(spark):
+    """Rows are expanded in pieces of bounded size, and only what is kept is repeated."""
+    df = spark.range(0, 60, 1, 1).select(F.col("id").cast("int").alias("n"), F.repeat(F.lit("ab "), 20_000).alias("t"))
+
+    def places(texts):
+        size = texts.nbytes
+        rows = [i for i, t in enumerate(texts.to_pylist()) for _ in t.split()[:50]]
+        return rows, pa.RecordBatch.from_pydict({"bytes": pa.array([size] * len(rows), pa.int64())})
+
+    out = user.expand(df, ["t"], places, "bytes bigint", keep=["n"])
+    assert out.columns == ["n", "bytes"] and out.count() == 3000
+    assert out.agg(F.max("bytes")).first()[0] < 1_100_000
+    assert sorted(r["count"] for r in out.groupBy("n").count().collect()) == [50] * 60
+
+    whole = user.expand(df, ["t"], places, "bytes bigint")
+    assert whole.columns == ["n", "t", "bytes"] and whole.agg(F.sum(F.length("t"))).first()[0] == 3000 * 60_000

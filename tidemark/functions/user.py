@@ -38,28 +38,54 @@ def flat_map(df: DataFrame, items: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(items).alias(name))
 
 
+# Arrow bytes that an expansion has in hand at once, in rows given and in rows made.
+_BYTES_AT_ONCE = 1_000_000
+
+
+def _pieces(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
+    """First place and number of rows of each piece; a piece may be one large row."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > _BYTES_AT_ONCE:
+            yield start, i - start
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
 def expand(
     df: DataFrame, inputs: Sequence[str],
     function: Callable[..., tuple[Sequence[int], pa.RecordBatch]], outputs: str,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Any number of output rows per row, beside the columns of the row.
 
-    ``function`` gets the input columns of a batch as Arrow arrays, and returns
-    for every output row the number of its row in the batch, and the new columns,
+    ``function`` gets the input columns of some rows as Arrow arrays, and returns
+    for every output row the number of its row among these, and the new columns,
     which ``outputs`` declares. For row expansions that no expression gives; a
-    batch is expanded at once, and nothing is shuffled. (A table function in
-    Arrow cannot be joined laterally.)
+    batch is expanded piece by piece, and nothing is shuffled. ``keep`` names the
+    columns to repeat beside the new ones (default: all); a long input that is not
+    wanted there should not be. (A table function in Arrow cannot be joined
+    laterally.)
     """
+    names = df.columns if keep is None else list(keep)
     added = T.StructType.fromDDL(outputs)
-    schema = T.StructType([*df.schema.fields, *added.fields])
+    schema = T.StructType([*[df.schema[c] for c in names], *added.fields])
     kinds = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in added.fields])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found = function(*[batch.column(c) for c in inputs])
-            kept = batch.take(pa.array(rows, pa.int64()))
-            new = [found.column(f.name).cast(f.type) for f in kinds]
-            yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*batch.schema.names, *kinds.names])
+            sizes = [batch.slice(i, 1).nbytes for i in range(batch.num_rows)]
+            for first, n in _pieces(sizes):
+                piece = batch.slice(first, n)
+                rows, found = function(*[piece.column(c) for c in inputs])
+                kept = piece.select(names)
+                wide = {i: kept.slice(i, 1).nbytes for i in set(rows)}
+                for start, count in _pieces([wide[i] for i in rows]):
+                    beside = kept.take(pa.array(rows[start : start + count], pa.int64()))
+                    new = [found.column(f.name).slice(start, count).cast(f.type) for f in kinds]
+                    yield pa.RecordBatch.from_arrays([*beside.columns, *new], [*names, *kinds.names])
 
     return df.mapInArrow(apply, schema)
 

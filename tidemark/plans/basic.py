@@ -137,7 +137,7 @@ WHERE length(part) >= 12 AND regexp_matches(part, '^[a-z0-9_]')"""
 def long_word_places(spark, folder):
     """Every long word of the documents with its place, by a user's row expansion."""
     texts = spread(table(spark, folder, "documents").select("doc_id", "text"))
-    return expand(texts, ["text"], _long_words, "start int, word string").select("doc_id", "start", "word")
+    return expand(texts, ["text"], _long_words, "start int, word string", keep=["doc_id"])
 
 
 @report(
