@@ -14,7 +14,7 @@ from tidemark.functions.user import expand
 from tidemark.plans.inputs import events, with_events
 from tidemark.plans.registry import report
 from tidemark.session import shared_folder
-from tidemark.sources.readers import decode_csv_value, spread, table
+from tidemark.sources.readers import decode_csv_value, generated_users, spread, table
 from tidemark.sources.sinks import insert_select as insert_into
 
 
@@ -156,28 +156,35 @@ def kafka_decode(spark, folder):
     return decode_csv_value(messages, schemas.USER_BEHAVIOR)
 
 
-_USERS = """u AS (
-  SELECT c_custkey AS id, CAST(c_nationkey AS INTEGER) AS rating,
-         CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS subscribed FROM customer)"""
+_USERS = """g AS (
+  SELECT c_custkey AS id, ((c_custkey + 42) % 2147483647) * 48271 % 2147483647 AS s,
+         CAST(c_nationkey AS INTEGER) AS nation,
+         CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS in_credit FROM customer),
+u AS (
+  SELECT id, CAST(1 + s % 100 AS INTEGER) AS rating,
+         CAST(((s + 1) % 2147483647) * 48271 % 2147483647 % 2 = 0 AS INTEGER) AS subscribed,
+         nation, in_credit FROM g)"""
 
 
 def _users(spark, folder):
-    """Customers as user rows: key, nation as rating, subscribed with a balance."""
-    return table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("int").alias("rating"),
-        F.when(F.col("c_acctbal") > 0, 1).otherwise(0).alias("subscribed"),
+    """Customers as user rows: generated rating and subscription, own nation and whether in credit."""
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("int").alias("nation"),
+        F.when(F.col("c_acctbal") > 0, 1).otherwise(0).alias("in_credit"),
     )
+    users = generated_users(customers, "c_custkey", keep=["nation", "in_credit"])
+    return users.select("id", "rating", F.col("subscription").cast("int").alias("subscribed"), "nation", "in_credit")
 
 
-@report(f"WITH {_USERS} SELECT id, rating, subscribed FROM u")
+@report(f"WITH {_USERS} SELECT id, rating, subscribed, nation, in_credit FROM u")
 def datagen_users(spark, folder):
-    """A user row for every customer."""
+    """A generated user row for every customer, with the customer's own columns."""
     return _users(spark, folder)
 
 
 @report(f"WITH {_USERS} SELECT rating, subscribed FROM u")
 def insert_select(spark, folder):
-    """Two of three columns of the user rows, inserted into a sink table."""
+    """Two columns of the user rows, inserted into a sink table."""
     name = f"user_output_{uuid.uuid4().hex[:12]}"
     _users(spark, folder).createOrReplaceTempView(f"source_of_{name}")
     location = f"{shared_folder(spark)}/{name}"

@@ -131,8 +131,9 @@ def generated_users(
     id_column: str = "id",
     seed: int = 42,
     rating: tuple[int, int] = (1, 100),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """A user row per id with a repeatable pseudo-random rating and flag.
+    """A user row per id with a repeatable pseudo-random rating and flag, beside the columns of ``keep``.
 
     One multiplicative congruential step per column on the id, so that a rerun
     of a lost task gives the same rows and no order or partitioning matters.
@@ -143,6 +144,7 @@ def generated_users(
         F.col(id_column).cast("bigint").alias("id"),
         (F.lit(low) + state % (high - low + 1)).cast("int").alias("rating"),
         (_minstd(state + 1) % 2 == 0).alias("subscription"),
+        *keep,
     )
 
 
