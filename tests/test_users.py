@@ -14,3 +14,10 @@ def test_datagen_users_are_generated(spark, folder):
     assert same(found, made, "id", "rating", "subscribed")
     own = customers.selectExpr("c_custkey AS id", "c_nationkey AS nation", "int(c_acctbal > 0) AS in_credit")
     assert same(found, own, "id", "nation", "in_credit")
+
+
+def test_insert_select_inserts_them_all(spark, folder):
+    found = entry.queries()["insert_select"](spark, folder)
+    users = entry.queries()["datagen_users"](spark, folder)
+    columns = ["rating", "subscribed", "nation", "in_credit"]
+    assert found.columns == columns and same(found, users, *columns)

@@ -182,15 +182,16 @@ def datagen_users(spark, folder):
     return _users(spark, folder)
 
 
-@report(f"WITH {_USERS} SELECT rating, subscribed FROM u")
+@report(f"WITH {_USERS} SELECT rating, subscribed, nation, in_credit FROM u")
 def insert_select(spark, folder):
-    """Two columns of the user rows, inserted into a sink table."""
+    """All columns of the user rows but the key, inserted into a sink table."""
     name = f"user_output_{uuid.uuid4().hex[:12]}"
     _users(spark, folder).createOrReplaceTempView(f"source_of_{name}")
     location = f"{shared_folder(spark)}/{name}"
     spark.sql(
-        f"CREATE TABLE {name} (rating INT, subscribed INT) USING parquet LOCATION '{location}'"
+        f"CREATE TABLE {name} (rating INT, subscribed INT, nation INT, in_credit INT) "
+        f"USING parquet LOCATION '{location}'"
     )
-    found = insert_into(spark, name, f"source_of_{name}", ["rating", "subscribed"])
+    found = insert_into(spark, name, f"source_of_{name}", ["rating", "subscribed", "nation", "in_credit"])
     spark.catalog.dropTempView(f"source_of_{name}")
     return found
