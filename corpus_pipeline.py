@@ -26,10 +26,14 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names.
     """
     model = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    found = language.identify(rows, model, key="row")
+    # The text goes to Python and back once; the other columns go beside it.
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    rows = docs.select(F.struct(*others).alias("row"), "text")
+    found = language.identify(rows, model, key="row", keep_text=True)
     accepted = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
-    return found.filter(accepted).select("row.*")
+    return found.filter(accepted).select(
+        *[F.col("text") if c == "text" else F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    )
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_slices, with_key
+from tidemark.session import small_batches
 
 UNKNOWN = "und"
 
@@ -146,6 +147,7 @@ def train(
     ``most_languages`` labels are an error. Without labelled rows the model has
     no language.
     """
+    small_batches(docs.sparkSession)
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("lang"))
     given = given.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     counts = given.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -274,24 +276,31 @@ class Labeller:
         return names, share, path, weight
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep_text: bool = False
+) -> DataFrame:
     """(key, lang_pred, score) of every row, from its whole text alone.
 
     ``und`` with score 0 if the text is null or has no letter (or the model knows
     no language). Equal languages of a text go to the first by name. Rows may
-    repeat; other columns take no part.
+    repeat; other columns take no part. With ``keep_text`` the text, as ``text``,
+    comes last, so that the key need not hold it.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    more = ["text"] if keep_text else []
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Labeller(model)
         for batch in text_slices(batches, "text", 2_000_000):
             names, share, _, _ = tool.label(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(names, pa.string()), pa.array(share)], ["key", "lang_pred", "score"]
+                [batch.column("key"), pa.array(names, pa.string()), pa.array(share), *[batch.column(c) for c in more]],
+                ["key", "lang_pred", "score", *more],
             )
 
-    found = rows.mapInArrow(apply, with_key(rows, "key", "lang_pred string, score double"))
+    columns = "lang_pred string, score double" + "".join(f", {c} string" for c in more)
+    found = rows.mapInArrow(apply, with_key(rows, "key", columns))
     return found.withColumnRenamed("key", key)
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_slices, with_key
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, small_batches
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
@@ -212,7 +212,7 @@ def encode_decode(
     all documents and that of a task. Rows may repeat; other columns take no
     part. An empty table gives an empty result.
     """
-    proto = read_model(docs.sparkSession, model)
+    proto = read_model(small_batches(docs.sparkSession), model)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     table = word_table(rows.select("text"), proto, table_words)

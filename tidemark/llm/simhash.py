@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_slices, with_key
 from tidemark.llm.components import components
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, small_batches
 
 BLOCK = 2048  # fingerprints of a tile in one block
 
@@ -41,6 +41,7 @@ def fingerprints(
     included. A text with fewer words is one shingle; an empty or null text has
     fingerprint zero.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

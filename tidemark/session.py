@@ -48,6 +48,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of a few megabytes, unless the session says otherwise.
+
+    A batch of long rows is otherwise held several times at up to 64 MB: beside
+    the heap of the executor, and in its Python workers.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, "4m")
+    return spark
+
+
 @contextmanager
 def keyed_state(spark: SparkSession) -> Iterator[None]:
     """Settings that a query with keyed state takes over when it is started, whoever built the session."""
